@@ -10,11 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchboard.functions.periods import Season, week_end, week_index
+from matchboard.functions.periods import WEEK, Season, week_end, week_index
 from matchboard.operators.facts import match_facts
+from matchboard.operators.standings import standings_history
 
 TIME = "timestamp_ntz"
 # Monday before the first order, and the end of the week of the last one.
@@ -23,9 +24,27 @@ _START = datetime(1994, 12, 26, 8, 0)
 SEASON = Season(_START, _START + timedelta(weeks=_WEEKS), _WEEKS)
 INGEST_DELAY = "interval '3' hour"
 
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+LAYOUTS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+        "c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+}
 
 
 @dataclass(frozen=True)
@@ -36,132 +55,127 @@ class Matches:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return table(self.spark, self.folder, name)
+        reader = self.spark.read.schema(LAYOUTS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def teams(self) -> DataFrame:
         return self.table("nation").select(F.col("n_name").alias("team"))
 
     def pairings(self) -> DataFrame:
-        """All matches, also of a nation against itself."""
+        """Who plays whom and when, also a nation against itself."""
         first = F.min(F.struct("l_linenumber", "l_suppkey"))["l_suppkey"]
-        lines = (
-            self.table("lineitem")
-            .groupBy("l_orderkey")
-            .agg(
-                first.alias("s_suppkey"),
-                F.count_if(F.col("l_linestatus") == "O").cast("int").alias("home_goals"),
-                F.count_if(F.col("l_linestatus") == "F").cast("int").alias("away_goals"),
-            )
-        )
-        nation = self.table("nation")
-        home = self.table("customer").join(
-            nation.select(
-                F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_team")
-            ),
-            "c_nationkey",
-        )
-        away = self.table("supplier").join(
-            nation.select(
-                F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("away_team")
-            ),
-            "s_nationkey",
+        lines = self.table("lineitem").groupBy("l_orderkey").agg(first.alias("s_suppkey"))
+        nation = self.table("nation").select("n_nationkey", "n_name")
+        home = (
+            self.table("customer")
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("c_custkey", F.col("n_name").alias("home_team"))
         )
-        orders = self.table("orders").select(
-            "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
+        away = (
+            self.table("supplier")
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+            .select("s_suppkey", F.col("n_name").alias("away_team"))
         )
-        ingested = F.col("o_orderdate") + F.expr(INGEST_DELAY)
-        week = week_index(ingested, SEASON, TIME)
+        week = _week(F.col("o_orderdate"))
         return (
-            orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-            .join(
-                home.select(F.col("c_custkey").alias("o_custkey"), "home_team"), "o_custkey"
-            )
-            .join(away.select("s_suppkey", "away_team"), "s_suppkey")
+            self.table("orders")
+            .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+            .join(home, F.col("o_custkey") == F.col("c_custkey"))
+            .join(away, "s_suppkey")
             .select(
                 F.col("o_orderkey").cast("string").alias("game_id"),
                 (week + 1).cast("int").alias("round"),
                 "home_team",
                 "away_team",
                 F.col("o_orderdate").alias("game_start_time"),
-                "home_goals",
-                "away_goals",
-                ingested.alias("ingestion_time"),
                 week_end(week, SEASON, TIME).alias("updated_at"),
                 "o_orderstatus",
                 "o_orderpriority",
             )
         )
 
-    def played(self) -> DataFrame:
-        return self.pairings().filter(F.col("home_team") != F.col("away_team"))
+    def goals(self) -> DataFrame:
+        """Goals of every order with lines, also of those without two nations."""
+        lines = (
+            self.table("lineitem")
+            .groupBy("l_orderkey")
+            .agg(
+                F.count_if(F.col("l_linestatus") == "O").cast("int").alias("home_goals"),
+                F.count_if(F.col("l_linestatus") == "F").cast("int").alias("away_goals"),
+            )
+        )
+        orders = self.table("orders")
+        ingested = F.col("o_orderdate") + F.expr(INGEST_DELAY)
+        return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
+            F.col("o_orderkey").cast("string").alias("game_id"),
+            "home_goals",
+            "away_goals",
+            ingested.alias("ingestion_time"),
+            week_end(_week(F.col("o_orderdate")), SEASON, TIME).alias("updated_at"),
+            "o_orderstatus",
+            "o_orderpriority",
+        )
 
     def schedule(self) -> DataFrame:
-        return self.played().select(
-            "game_id", "round", "home_team", "away_team", "game_start_time", "updated_at"
-        )
+        between_nations = F.col("home_team") != F.col("away_team")
+        return self.pairings().filter(between_nations).drop("o_orderstatus", "o_orderpriority")
 
     def scores(self) -> DataFrame:
-        return self.played().select(
-            "game_id",
-            "home_goals",
-            "away_goals",
-            "ingestion_time",
-            "updated_at",
-            F.to_date("ingestion_time").alias("ingestion_date"),
+        return (
+            self.goals()
+            .drop("o_orderstatus", "o_orderpriority")
+            .withColumn("ingestion_date", F.to_date("ingestion_time"))
         )
 
     def facts(self) -> DataFrame:
         return match_facts(self.schedule(), self.scores())
 
+    def history(self) -> DataFrame:
+        first = SEASON.start + WEEK
+        return standings_history(self.facts(), self.teams(), first, SEASON.end)
+
     def raw_scores(self) -> DataFrame:
-        """Scores as text; partly shipped orders carry gaps and unreadable values,
-        finished ones come twice, some open ones again with another score."""
-        partly = F.col("o_orderstatus") == "P"
-        case = F.col("o_orderpriority")
-        text = self.played().select(
-            "game_id",
-            F.concat(F.col("home_goals").cast("string"), F.lit(".0")).alias("home_goals"),
-            F.when(partly & (case == "1-URGENT"), F.lit(None))
-            .when(partly & (case == "2-HIGH"), "x")
-            .otherwise(F.col("away_goals").cast("string"))
-            .alias("away_goals"),
-            F.when(partly & (case == "3-MEDIUM"), "no time")
-            .otherwise(F.col("ingestion_time").cast("string"))
-            .alias("ingestion_time"),
-            "o_orderstatus",
-            "o_orderpriority",
-        )
+        """Scores as text. Orders shipped in part carry gaps and unreadable values,
+        finished ones come twice, urgent open ones again with another score."""
         status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-        copies = F.when(status == "F", F.array(F.lit(0), F.lit(0))).when(
-            (status == "O") & (priority == "5-LOW"), F.array(F.lit(0), F.lit(1))
+        partly = status == "P"
+        away = (
+            F.when(partly & (priority == "1-URGENT"), F.lit(None))
+            .when(partly & (priority == "2-HIGH"), "x")
+            .otherwise(F.col("away_goals").cast("string"))
         )
-        doubled = text.withColumn(
-            "other", F.explode(F.coalesce(copies, F.array(F.lit(0))))
+        versions = (
+            F.when(status == "F", F.array(away, away))
+            .when((status == "O") & (priority == "1-URGENT"), F.array(away, F.lit("9")))
+            .otherwise(F.array(away))
         )
-        return doubled.select(
+        return self.goals().select(
             "game_id",
-            "home_goals",
-            F.when(F.col("other") == 1, "9").otherwise(F.col("away_goals")).alias("away_goals"),
-            "ingestion_time",
+            F.concat(F.col("home_goals").cast("string"), F.lit(".0")).alias("home_goals"),
+            F.explode(versions).alias("away_goals"),
+            F.when(partly & (priority == "3-MEDIUM"), "no time")
+            .otherwise(F.col("ingestion_time").cast("string"))
+            .alias("ingestion_time"),
         )
 
     def raw_schedule(self) -> DataFrame:
         """Schedule as text, of the same kind."""
-        partly = F.col("o_orderstatus") == "P"
-        case = F.col("o_orderpriority")
-        text = self.played().select(
+        status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+        partly = status == "P"
+        number = F.when(partly & (priority == "4-NOT SPECIFIED"), "first").otherwise(
+            F.concat(F.col("round").cast("string"), F.lit(".7"))
+        )
+        versions = F.when(status == "F", F.array(number, number)).otherwise(F.array(number))
+        return self.pairings().select(
             "game_id",
-            F.when(partly & (case == "4-NOT SPECIFIED"), "first")
-            .otherwise(F.concat(F.col("round").cast("string"), F.lit(".7")))
-            .alias("round"),
+            F.explode(versions).alias("round"),
             "home_team",
-            F.when(partly & (case == "5-LOW"), F.lit(None))
+            F.when(partly & (priority == "5-LOW"), F.lit(None))
             .otherwise(F.col("away_team"))
             .alias("away_team"),
             F.col("game_start_time").cast("string").alias("game_start_time"),
-            "o_orderstatus",
-        )
-        twice = F.when(F.col("o_orderstatus") == "F", 2).otherwise(1)
-        return text.withColumn("_", F.explode(F.array_repeat(F.lit(1), twice))).drop(
-            "_", "o_orderstatus"
         )
+
+
+def _week(order_date: Column) -> Column:
+    return week_index(order_date + F.expr(INGEST_DELAY), SEASON, TIME)

@@ -14,14 +14,18 @@ from matchboard.operators.keys import semi_join
 REASONS = "rejected_columns"
 
 
+def in_period(scores: DataFrame, period: Period) -> DataFrame:
+    """Scores ingested in ``(start, end]``; an unreadable time is in no period."""
+    kind = time_type(scores, "ingestion_time")
+    ingested = to_time("ingestion_time", kind)
+    return scores.filter((ingested > at(period.start, kind)) & (ingested <= at(period.end, kind)))
+
+
 def slice_period(
     scores: DataFrame, schedule: DataFrame, period: Period
 ) -> tuple[DataFrame, DataFrame]:
-    """Scores ingested in ``(start, end]`` and the schedule rows they belong to."""
-    kind = time_type(scores, "ingestion_time")
-    ingested = to_time("ingestion_time", kind)
-    within = (ingested > at(period.start, kind)) & (ingested <= at(period.end, kind))
-    kept = scores.filter(within)
+    """Scores of a period and the schedule rows they belong to."""
+    kept = in_period(scores, period)
     return kept, semi_join(schedule, kept, "game_id")
 
 

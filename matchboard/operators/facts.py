@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +16,19 @@ def outcome(home: str | Column = "home_goals", away: str | Column = "away_goals"
 
 
 def match_facts(
-    schedule: DataFrame, scores: DataFrame, extra: tuple[str, ...] = ("updated_at",)
+    schedule: DataFrame,
+    scores: DataFrame,
+    keys: Sequence[str] = ("game_id",),
+    extra: Sequence[str] = ("updated_at",),
 ) -> DataFrame:
-    """Join schedule and scores on ``game_id`` and derive date, difference and outcome.
+    """Join schedule and scores and derive date, difference and outcome.
 
-    ``extra`` names columns of ``scores`` carried along (snapshot, league, season).
+    ``extra`` names columns carried along (snapshot, league, season); those that are
+    not part of the key come from ``scores``.
     """
-    fixtures = schedule.drop(*extra).withColumnRenamed("game_start_time", "match_time")
-    return fixtures.join(scores, "game_id", "inner").select(
+    fixtures = schedule.drop(*[c for c in extra if c not in keys])
+    fixtures = fixtures.withColumnRenamed("game_start_time", "match_time")
+    return fixtures.join(scores, list(keys), "inner").select(
         "game_id",
         "round",
         "home_team",

@@ -37,6 +37,17 @@ def _probe(df: DataFrame, other: DataFrame, key: str | Sequence[str], how: str)
     return left.join(right, [*keys, _PROBE], how).select(*df.columns)
 
 
+def attach(
+    df: DataFrame, other: DataFrame, key: str | Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """Rows of ``df`` once for each distinct value of ``columns`` their key has in ``other``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    probe = F.xxhash64(*keys)
+    right = other.select(*keys, *columns).distinct().withColumn(_PROBE, probe)
+    joined = df.withColumn(_PROBE, probe).join(right, [*keys, _PROBE])
+    return joined.select(*df.columns, *columns)
+
+
 def reconcile(
     left: DataFrame, right: DataFrame, key: str | Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:

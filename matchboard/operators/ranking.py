@@ -4,7 +4,8 @@ A plain ``row_number`` window sends a whole group to one task. ``rank_rows`` cut
 the sort order into slices first, numbers rows within (group, slice) and adds the
 count of the earlier slices of the group. The cut points are taken from the
 rows with the smallest hashes, a bounded sample that is the same on every attempt;
-they decide how even the slices are, not what the ranks are.
+they decide how even the slices are, not what the ranks are. The input is staged
+first, because cut points, slice sizes and rows each read it.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matchboard.sources.staging import stage
+
+# A group up to this size is numbered by one task, which streams it from a sort.
+ROWS_PER_TASK = 1_000_000
 SLICES = 64
 _OVERSAMPLE = 8
 
@@ -29,13 +34,14 @@ def rank_rows(
 
     ``order`` lists (column, "asc" | "desc"); it must be total within a group.
     Descending columns must be numeric. ``slices=1`` is the plain window, for
-    groups known to be small.
+    groups proven small; see ``slices_for``.
     """
     by = [F.desc(c) if way == "desc" else F.asc(c) for c, way in order]
     if slices == 1:
         window = Window.partitionBy(*group_cols).orderBy(*by)
         return df.withColumn(name, F.row_number().over(window))
 
+    df = stage(df, "ranking")
     # A struct of the group columns equals itself also where they are null.
     group = F.struct(*group_cols) if group_cols else F.lit(0)
     place = F.struct(group.alias("g"), *[_ascending(c, way) for c, way in order])
@@ -71,6 +77,14 @@ def rank_rows(
     return ranked.select(*df.columns, rank.alias(name))
 
 
+def slices_for(entities: DataFrame) -> int:
+    """1 if no group can exceed what one task should number, else ``SLICES``.
+
+    ``entities`` lists every entity that may be ranked, once per group.
+    """
+    return 1 if entities.count() <= ROWS_PER_TASK else SLICES
+
+
 def top_rows(
     df: DataFrame,
     group_cols: Sequence[str],

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from matchboard.functions.casts import at, time_type
 from matchboard.operators.keys import anti_join
-from matchboard.operators.ranking import SLICES, rank_rows
+from matchboard.operators.ranking import rank_rows, slices_for
 
 MEASURES = ("wins", "draws", "losses", "goals_for", "goals_against")
 RANK_ORDER = (
@@ -47,19 +47,21 @@ def standings(
     group_cols: Sequence[str] = (),
     as_of: datetime | None = None,
     points: Points = Points(),
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Standings over the facts up to ``as_of``, with a zero row for idle teams.
 
     ``teams`` holds ``team`` and the group columns. Its rows join the sums as zero
-    results, so no team is looked up or missed.
+    results, so no team is looked up or missed. Its size also decides how the rank
+    is split, so it should list all teams; others are ranked as well, but the job
+    checks refuse them.
     """
     if as_of is not None:
         kind = time_type(facts, "updated_at")
         facts = facts.filter(F.col("updated_at") <= at(as_of, kind))
     rows = team_results(facts, group_cols).unionByName(_idle(teams, group_cols))
     totals = _scored(rows.groupBy(*group_cols, "team").agg(*_sums()), points)
-    ranked = rank_rows(totals, group_cols, RANK_ORDER, slices=slices)
+    ranked = rank_rows(totals, group_cols, RANK_ORDER, slices=slices or slices_for(teams))
     return ranked.select(*group_cols, "ranking", "team", *MEASURES, "points")
 
 
@@ -76,7 +78,7 @@ def standings_history(
     last: datetime,
     group_cols: Sequence[str] = (),
     points: Points = Points(),
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Standings of every weekly snapshot from ``first`` to ``last`` in one job.
 
@@ -110,7 +112,8 @@ def standings_history(
         "updated_at", F.explode(F.sequence("updated_at", "valid_to", week))
     ).drop("valid_to")
     totals = _scored(snapshots, points)
-    ranked = rank_rows(totals, [*group_cols, "updated_at"], RANK_ORDER, slices=slices)
+    snapshot = [*group_cols, "updated_at"]
+    ranked = rank_rows(totals, snapshot, RANK_ORDER, slices=slices or slices_for(teams))
     return ranked.select(*group_cols, "ranking", "team", *MEASURES, "points", "updated_at")
 
 
