@@ -28,6 +28,7 @@ from matchboard.schemas import (
     SCHEDULE,
     SCORES,
     STANDINGS,
+    column_names,
     layout,
 )
 
@@ -130,7 +131,7 @@ def _schedule(bounds: PeriodBounds, columns: str) -> list:
 
 
 def _not_null(columns: str) -> list:
-    return [NotNull(name) for name in layout(columns).names]
+    return [NotNull(name) for name in column_names(columns)]
 
 
 def _once_per_round() -> list:

@@ -32,3 +32,7 @@ def layout(ddl: str, time: str = "timestamp", extra: str = "") -> StructType:
     if extra:
         text = f"{text}, {extra.format(time=time)}"
     return StructType.fromDDL(text)
+
+
+def column_names(ddl: str) -> list[str]:
+    return [column.split()[0] for column in ddl.split(", ")]
