@@ -26,6 +26,9 @@ def read_raw(
     """
     extra = f"{CORRUPT} string" if keep_corrupt else ""
     reader = spark.read.schema(layout(columns, extra=extra)).option("header", True)
+    if keep_corrupt:
+        # A pruned read does not look at the fields it skips.
+        reader = reader.option("columnPruning", False)
     return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
