@@ -7,8 +7,10 @@ the same matches as text, with copies, gaps and unreadable values.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,23 +49,41 @@ LAYOUTS = {
 }
 
 
+def once(build: Callable[[Matches], DataFrame]) -> Callable[[Matches], DataFrame]:
+    """Build a frame the first time it is asked for; building it means analysing it."""
+
+    @wraps(build)
+    def get(self: Matches) -> DataFrame:
+        if build.__name__ not in self.frames:
+            self.frames[build.__name__] = build(self)
+        return self.frames[build.__name__]
+
+    return get
+
+
 @dataclass(frozen=True)
 class Matches:
     """Frames derived from one data folder."""
 
     spark: SparkSession
     folder: str
+    frames: dict[str, DataFrame] = field(default_factory=dict, compare=False)
 
     def table(self, name: str) -> DataFrame:
         reader = self.spark.read.schema(LAYOUTS[name])
         return reader.parquet(f"{self.folder}/{name}.parquet")
 
+    @once
     def teams(self) -> DataFrame:
         return self.table("nation").select(F.col("n_name").alias("team"))
 
+    @once
     def pairings(self) -> DataFrame:
         """Who plays whom and when, also a nation against itself."""
-        first = F.min(F.struct("l_linenumber", "l_suppkey"))["l_suppkey"]
+        # Line number and supplier in one long, which unlike a struct is aggregated by
+        # hash; supplier keys stay far below 2**40.
+        line = F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_suppkey")
+        first = F.min(line).bitwiseAND(F.lit((1 << 40) - 1))
         lines = self.table("lineitem").groupBy("l_orderkey").agg(first.alias("s_suppkey"))
         nation = self.table("nation").select("n_nationkey", "n_name")
         home = (
@@ -94,6 +114,7 @@ class Matches:
             )
         )
 
+    @once
     def goals(self) -> DataFrame:
         """Goals of every order with lines, also of those without two nations."""
         lines = (
@@ -116,10 +137,12 @@ class Matches:
             "o_orderpriority",
         )
 
+    @once
     def schedule(self) -> DataFrame:
         between_nations = F.col("home_team") != F.col("away_team")
         return self.pairings().filter(between_nations).drop("o_orderstatus", "o_orderpriority")
 
+    @once
     def scores(self) -> DataFrame:
         return (
             self.goals()
@@ -127,13 +150,16 @@ class Matches:
             .withColumn("ingestion_date", F.to_date("ingestion_time"))
         )
 
+    @once
     def facts(self) -> DataFrame:
         return match_facts(self.schedule(), self.scores())
 
+    @once
     def history(self) -> DataFrame:
         first = SEASON.start + WEEK
         return standings_history(self.facts(), self.teams(), first, SEASON.end)
 
+    @once
     def raw_scores(self) -> DataFrame:
         """Scores as text. Orders shipped in part carry gaps and unreadable values,
         finished ones come twice, urgent open ones again with another score."""
@@ -158,6 +184,7 @@ class Matches:
             .alias("ingestion_time"),
         )
 
+    @once
     def raw_schedule(self) -> DataFrame:
         """Schedule as text, of the same kind."""
         status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")

@@ -149,10 +149,8 @@ def _same_ids(number: int, check: SameIds, by: Sequence[str]) -> DataFrame:
         F.count_if(F.col(f"in_{a}") != F.col(f"in_{b}")).alias(f"n{i}")
         for i, (a, b) in enumerate(pairs)
     ]
-    rows = [
-        _metric(number, check.name, f"{a} vs {b}", F.col(f"n{i}")) for i, (a, b) in enumerate(pairs)
-    ]
-    return ids.groupBy(*by).agg(*counters).select(*by, F.inline(F.array(*rows)))
+    rows = [(number, check.name, f"{a} vs {b}", f"n{i}") for i, (a, b) in enumerate(pairs)]
+    return _metrics(ids.groupBy(*by).agg(*counters), rows, by)
 
 
 def _one_sided(ids: DataFrame, check: SameIds) -> DataFrame:
@@ -164,8 +162,7 @@ def _same_count(df: DataFrame, number: int, check: SameCount, by: Sequence[str])
     ours = df.groupBy(*by).agg(F.count("*").alias("n"))
     theirs = check.other.groupBy(*by).agg((-F.count("*")).alias("n"))
     difference = ours.unionByName(theirs).groupBy(*by).agg(F.abs(F.sum("n")).alias("n"))
-    row = _metric(number, check.name, "rows", F.col("n"))
-    return difference.select(*by, F.inline(F.array(row)))
+    return _metrics(difference, [(number, check.name, "rows", "n")], by)
 
 
 def _one_of(df: DataFrame, number: int, check: OneOf, by: Sequence[str]) -> DataFrame:
@@ -177,34 +174,43 @@ def _one_of(df: DataFrame, number: int, check: OneOf, by: Sequence[str]) -> Data
     if by:
         groups = counts.select(*by, F.lit(0).cast("bigint").alias("n"))
         total = total.unionByName(groups).groupBy(*by).agg(F.sum("n").alias("n"))
-    row = _metric(number, check.name, _target(check), F.col("n"))
-    return total.select(*by, F.inline(F.array(row)))
+    return _metrics(total, [(number, check.name, _target(check), "n")], by)
 
 
 def _constant(
     df: DataFrame, number: int, check, absent: list[str], by: Sequence[str]
 ) -> DataFrame:
     if absent:
-        row = _metric(number, check.name, _target(check), F.lit(None))
+        target, count = _target(check), "null"
     else:
         faults = check.faults(df)
-        row = _metric(number, check.name, ", ".join(faults), F.lit(len(faults)))
+        target, count = ", ".join(faults), str(len(faults))
     groups = df.select(*by).distinct() if by else df.sparkSession.range(1)
-    return groups.select(*by, F.inline(F.array(row)))
+    return _metrics(groups, [(number, check.name, target, count)], by)
 
 
 def _unpivot(wide: DataFrame, checks: list, by: Sequence[str]) -> DataFrame:
-    rows = [_metric(no, check.name, _target(check), F.col(f"n{no}")) for no, check in checks]
-    return wide.select(*by, F.inline(F.array(*rows)))
+    rows = [(number, check.name, _target(check), f"n{number}") for number, check in checks]
+    return _metrics(wide, rows, by)
 
 
-def _metric(number: int, name: str, target: str, count: Column) -> Column:
-    return F.struct(
-        F.lit(number).alias("check_no"),
-        F.lit(name).alias("check"),
-        F.lit(target).alias("target"),
-        count.cast("bigint").alias("violations"),
-    )
+def _metrics(wide: DataFrame, rows: list[tuple], by: Sequence[str]) -> DataFrame:
+    """Turn counters in columns into one metrics row each.
+
+    One SQL expression, since building a long array column by column takes a call to
+    the JVM for every piece.
+    """
+    structs = [
+        f"struct({number} as check_no, {_quoted(name)} as check, {_quoted(target)} as target, "
+        f"cast({count} as bigint) as violations)"
+        for number, name, target, count in rows
+    ]
+    return wide.select(*by, F.expr(f"inline(array({', '.join(structs)}))"))
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def _target(check) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchboard.fixtures import SEASON, TIME, Matches
@@ -18,6 +18,7 @@ from matchboard.functions.periods import (
     week_period,
 )
 from matchboard.operators.cleaning import REASONS, clean_schedule, clean_scores, slice_period
+from matchboard.operators.facts import match_facts as build_facts
 from matchboard.operators.form import (
     form_table,
     last_matches,
@@ -58,7 +59,7 @@ from matchboard.quality import (
 )
 from matchboard.quality.suites import PeriodBounds
 from matchboard.schemas import RAW_SCORES
-from matchboard.sources.staging import scratch_path
+from matchboard.sources.staging import scratch_path, stage
 from matchboard.sources.tables import export_csv, read_raw, write_table
 
 WEEK_NUMBER = 100
@@ -99,16 +100,20 @@ def week_of_match(m: Matches) -> DataFrame:
 
 @query
 def week_calendar(m: Matches) -> DataFrame:
-    facts = m.facts()
-    span = facts.agg(F.min("updated_at").alias("first"), F.max("updated_at").alias("last"))
+    """Every week from the first to the last match, with its number of matches."""
+    played = m.facts().groupBy("updated_at").agg(F.count("*").alias("n"))
     step = F.expr("interval '7' day")
-    weeks = span.select(F.explode(F.sequence("first", "last", step)).alias("updated_at"))
-    played = facts.groupBy("updated_at").agg(F.count("*").alias("matches"))
+    # One row per week reaches this window.
+    following = F.lead("updated_at").over(Window.orderBy("updated_at"))
+    until = F.coalesce(following - step, F.col("updated_at"))
+    weeks = played.withColumn("until", until).select(
+        "n", F.posexplode(F.sequence("updated_at", "until", step)).alias("gap", "updated_at")
+    )
     week = week_index(F.col("updated_at"), SEASON, TIME)
-    return weeks.join(played, "updated_at", "left").select(
+    return weeks.select(
         week.alias("week"),
         *week_columns(week, SEASON, TIME)[:-1],
-        F.coalesce("matches", F.lit(0)).alias("matches"),
+        F.when(F.col("gap") == 0, F.col("n")).otherwise(0).alias("matches"),
     )
 
 
@@ -304,8 +309,9 @@ def raw_schedule_report(m: Matches) -> DataFrame:
 
 @query
 def validate_report(m: Matches) -> DataFrame:
-    facts = m.facts()
-    tables = {"schedule": m.schedule(), "scores": m.scores(), "matches": facts}
+    schedule, scores = stage(m.schedule()), stage(m.scores())
+    facts = stage(build_facts(schedule, scores))
+    tables = {"schedule": schedule, "scores": scores, "matches": facts}
     return validate(facts, suites.match_facts(_bounds(), tables, TIME))
 
 
@@ -323,7 +329,7 @@ def validate_by_snapshot(m: Matches) -> DataFrame:
 @query
 def standings_report(m: Matches) -> DataFrame:
     teams = m.teams()
-    last = m.history().filter(F.col("updated_at") == at(SEASON.end, TIME))
+    last = stage(m.history().filter(F.col("updated_at") == at(SEASON.end, TIME)))
     return validate(last, suites.standings(teams, teams.count(), 300))
 
 
@@ -397,7 +403,7 @@ def history_by_side(m: Matches) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("game_id"), "o_orderstatus"
     )
     scores = m.scores().join(status, "game_id").withColumnRenamed("o_orderstatus", "league")
-    facts = jobs.match_facts(m.schedule(), scores, extra=("updated_at", "league"))
+    facts = build_facts(m.schedule(), scores, extra=("updated_at", "league"))
     leagues = F.array(F.lit("F"), F.lit("O"), F.lit("P"))
     teams = m.teams().withColumn("league", F.explode(leagues))
     return standings_history(facts, teams, SEASON.start + WEEK, SEASON.end, ["league"])
