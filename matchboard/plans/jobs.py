@@ -6,6 +6,7 @@ raw files are parsed once and no check repeats a join.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -210,13 +211,19 @@ def run_backfill(spark: SparkSession, cfg: Config, weeks: int | None = None) ->
     checks = suites.standings(cfg.teams, cfg.teams.count(), bounds.max_round)
     report.note("standings", validate(_with_period(history, cfg), checks, by), cfg.mode)
 
-    for name, df in (
-        (BRONZE_SCHEDULE, schedule),
-        (BRONZE_SCORES, scores),
-        (SILVER_FACTS, facts),
-        (GOLD_STANDINGS, history),
-    ):
-        write_snapshots(df, cfg.table(name, True), cfg.fmt, replace_all=True)
+    layers = {
+        BRONZE_SCHEDULE: schedule,
+        BRONZE_SCORES: scores,
+        SILVER_FACTS: facts,
+        GOLD_STANDINGS: history,
+    }
+
+    def publish(name: str) -> None:
+        write_snapshots(layers[name], cfg.table(name, True), cfg.fmt, replace_all=True)
+
+    # The layers are staged and independent, so their writes may overlap.
+    with ThreadPoolExecutor(len(layers)) as pool:
+        list(pool.map(publish, layers))
     export_standings(spark, cfg, weekly=True)
     return report
 

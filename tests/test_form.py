@@ -4,10 +4,10 @@ from datetime import datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import matchboard.operators.form as form_module
+from benchmarks.plain import last_matches_by_range_join
 from matchboard.operators.form import (
     form_table,
     last_matches,
@@ -126,30 +126,13 @@ def test_form_equals_a_plain_loop(spark, weekly, n, first):
     assert last == {k: v for k, v in expected_last(weekly, n, first).items() if v}
 
 
-def range_join_form(history, n=5):
-    """The same last matches by joining every snapshot with all earlier matches."""
-    matches = matches_from_deltas(weekly_deltas(history)).alias("m")
-    pairs = matches.join(
-        history.select("team", "updated_at").alias("s"),
-        (F.col("m.team") == F.col("s.team"))
-        & (F.col("m.updated_at") <= F.col("s.updated_at")),
-    )
-    latest = Window.partitionBy("m.team", "s.updated_at").orderBy(
-        F.desc("m.updated_at"), F.desc("m.pts")
-    )
-    return pairs.withColumn("rn", F.row_number().over(latest)).filter(F.col("rn") <= n).select(
-        "m.team", "s.updated_at", "m.result", "m.pts",
-        F.col("m.gf").alias("gf_per_match"), F.col("m.ga").alias("ga_per_match"), "rn",
-    )
-
-
 def test_last_matches_equal_the_range_join(spark):
     from matchboard.fixtures import Matches
 
     path = spark.conf.get("spark.checkpoint.dir") + "/history"
     Matches(spark, "/root/testdata/sf0.001").history().write.mode("overwrite").parquet(path)
     history = spark.read.parquet(path)
-    fast, plain = last_matches(weekly_deltas(history)), range_join_form(history)
+    fast, plain = last_matches(weekly_deltas(history)), last_matches_by_range_join(history)
     assert fast.count() == plain.count() > 0
     assert fast.exceptAll(plain.select(*fast.columns)).isEmpty()
 
