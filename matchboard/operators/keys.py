@@ -68,22 +68,26 @@ def duplicate_rows(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 
 def distinct_count(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows, distinct values (null is one value) and surplus rows per column."""
-    parts = []
-    for column in columns:
-        counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-        parts.append(
-            counts.agg(
-                F.lit(column).alias("column"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-                F.count("*").alias("distinct_values"),
-                F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus"),
-            )
+    """Rows, distinct values (null is one value) and surplus rows of each column.
+
+    All columns share one scan and one aggregation.
+    """
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+        for c in columns
+    ]
+    counts = df.select(F.inline(F.array(*cells))).groupBy("column", "value")
+    copies = counts.agg(F.count("*").alias("n"))
+    totals = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias("rows"),
+            F.count_if(own).alias("distinct_values"),
+            F.coalesce(F.sum(F.when(own, F.col("n") - 1)), F.lit(0)).alias("surplus"),
         )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        for c, own in ((c, F.col("column") == c) for c in columns)
+    ]
+    return copies.agg(F.array(*totals).alias("totals")).select(F.inline("totals"))
 
 
 def presence(tables: dict[str, DataFrame], key: str | Sequence[str]) -> DataFrame:

@@ -26,9 +26,12 @@ from matchboard.quality.checks import (
     Unique,
 )
 
+# Broken checks listed to the driver at most.
+LISTED = 10_000
+
 
 class ValidationError(AssertionError):
-    """A strict suite failed; ``failed`` holds the metrics of every broken check."""
+    """A strict suite failed; ``failed`` holds the metrics of the broken checks."""
 
     def __init__(self, failed: list[Row]):
         self.failed = failed
@@ -88,10 +91,13 @@ def sample_values(df: DataFrame, check, n: int = 5) -> DataFrame:
     return violations(df, check).select(*check.columns).limit(n)
 
 
-def failures(metrics: DataFrame) -> list[Row]:
-    """The broken checks, in suite order. Metrics are one row per check and group."""
-    broken = metrics.filter(~F.col("passed")).collect()
-    return sorted(broken, key=lambda row: row["check_no"])
+def failures(metrics: DataFrame, limit: int = LISTED) -> list[Row]:
+    """The broken checks, in suite order.
+
+    Metrics per group can be many, so the driver takes the first ``limit`` of them;
+    the metrics frame has them all.
+    """
+    return metrics.filter(~F.col("passed")).orderBy("check_no").limit(limit).collect()
 
 
 def enforce(metrics: DataFrame, mode: str = "strict") -> list[Row]:

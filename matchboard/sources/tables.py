@@ -74,11 +74,17 @@ def clear_snapshot(df: DataFrame, path: str, moment: datetime, fmt: str = FORMAT
     """Replace one snapshot by nothing.
 
     A dynamic overwrite with no rows leaves the old folder as it is, so a rerun that
-    comes out empty replaces that folder by an empty file of the same layout.
+    comes out empty replaces that folder by an empty file of the same layout. A
+    format with a log of its own is told which snapshot to replace.
     """
-    folder = f"{SNAPSHOT}={moment.isoformat(sep=' ')}".replace(":", "%3A")
-    empty = df.drop(SNAPSHOT).limit(0)
-    empty.write.format(fmt).mode("overwrite").save(f"{path}/{folder}")
+    text = moment.isoformat(sep=" ")
+    empty = df.limit(0)
+    if fmt == "delta":
+        scope = f"{SNAPSHOT} = '{text}'"
+        empty.write.format(fmt).mode("overwrite").option("replaceWhere", scope).save(path)
+    else:
+        folder = f"{SNAPSHOT}={text}".replace(":", "%3A")
+        empty.drop(SNAPSHOT).write.format(fmt).mode("overwrite").save(f"{path}/{folder}")
 
 
 def export_csv(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
