@@ -167,6 +167,11 @@ def export_standings(spark: SparkSession, cfg: Config, weekly: bool) -> str:
     return path
 
 
+def export_table(spark: SparkSession, cfg: Config, name: str, file: str) -> None:
+    """Any stored table, such as "gold/standings_hist", as CSV in the output folder."""
+    export_csv(read_table(spark, f"{cfg.base}/{name}", fmt=cfg.fmt), f"{cfg.output}/{file}")
+
+
 def run_season(spark: SparkSession, cfg: Config) -> list[Report]:
     """The whole season in one slice, up to the CSV export."""
     period = season_period(cfg.season)

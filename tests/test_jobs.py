@@ -83,6 +83,8 @@ def test_season(spark, config):
     exported = spark.read.option("header", True).csv(f"{config.output}/{jobs.FINAL_CSV}")
     assert exported.columns == jobs.read_standings(spark, config).columns
     assert exported.count() == 4
+    jobs.export_table(spark, config, jobs.SILVER_FACTS, "facts.csv")
+    assert spark.read.option("header", True).csv(f"{config.output}/facts.csv").count() == 6
 
 
 def test_weeks_one_by_one_equal_the_backfill(spark, config, tmp_path):
