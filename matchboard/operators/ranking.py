@@ -2,10 +2,9 @@
 
 A plain ``row_number`` window sends a whole group to one task. ``rank_rows`` cuts
 the sort order into slices first, numbers rows within (group, slice) and adds the
-count of the earlier slices of the group. The cut points are taken from the
-rows with the smallest hashes, a bounded sample that is the same on every attempt;
-they decide how even the slices are, not what the ranks are. The input is staged
-first, because cut points, slice sizes and rows each read it.
+count of the earlier slices of the group. Spark's range partitioning makes the
+slices. They are written with the rows, so every later read sees the same ones,
+whatever is lost and run again.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from matchboard.sources.staging import stage
 # A group up to this size is numbered by one task, which streams it from a sort.
 ROWS_PER_TASK = 1_000_000
 SLICES = 64
-_OVERSAMPLE = 8
 
 
 def rank_rows(
@@ -33,31 +31,18 @@ def rank_rows(
     """Add ``name``: the row number in each group under ``order``.
 
     ``order`` lists (column, "asc" | "desc"); it must be total within a group.
-    Descending columns must be numeric. ``slices=1`` is the plain window, for
-    groups proven small; see ``slices_for``.
+    ``slices=1`` is the plain window, for groups proven small; see ``slices_for``.
     """
-    by = [F.desc(c) if way == "desc" else F.asc(c) for c, way in order]
+    by = _sorting(order)
     if slices == 1:
         window = Window.partitionBy(*group_cols).orderBy(*by)
         return df.withColumn(name, F.row_number().over(window))
 
-    df = stage(df, "ranking")
     # A struct of the group columns equals itself also where they are null.
     group = F.struct(*group_cols) if group_cols else F.lit(0)
-    place = F.struct(group.alias("g"), *[_ascending(c, way) for c, way in order])
-    sample = (
-        df.select(place.alias("place"))
-        .orderBy(F.xxhash64("place"), "place")
-        .limit(slices * _OVERSAMPLE)
-        .agg(F.array_sort(F.collect_list("place")))
-    )
-    cuts = F.filter("_cuts", lambda _, i: (i + 1) % _OVERSAMPLE == 0)
-    placed = (
-        df.withColumn("_cuts", sample.scalar())
-        .withColumn("_cuts", cuts)
-        .withColumn("_slice", F.size(F.filter("_cuts", lambda cut: cut <= place)))
-        .withColumn("_group", group)
-        .drop("_cuts")
+    ranged = df.repartitionByRange(slices, *group_cols, *by)
+    placed = stage(
+        ranged.withColumns({"_slice": F.spark_partition_id(), "_group": group}), "ranking"
     )
     numbered = placed.withColumn(
         "_number", F.row_number().over(Window.partitionBy("_group", "_slice").orderBy(*by))
@@ -97,13 +82,9 @@ def top_rows(
     Spark drops rows beyond ``k`` before the shuffle, so a task receives at most
     ``k`` rows of a group from each map task.
     """
-    by = [F.desc(c) if way == "desc" else F.asc(c) for c, way in order]
-    window = Window.partitionBy(*group_cols).orderBy(*by)
+    window = Window.partitionBy(*group_cols).orderBy(*_sorting(order))
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
 
 
-def _ascending(column: str, way: str) -> Column:
-    value = F.col(column)
-    if way == "asc":
-        return value.alias(column)
-    return F.struct(value.isNull().alias("missing"), (-value).alias("value")).alias(column)
+def _sorting(order: Sequence[tuple[str, str]]) -> list[Column]:
+    return [F.desc(c) if way == "desc" else F.asc(c) for c, way in order]
