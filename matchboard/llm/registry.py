@@ -8,6 +8,7 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from matchboard.llm.html_text import extract_main_text
 from matchboard.llm.quality_rules import quality_rules
 
 _shipped: set[str] = set()
@@ -36,8 +37,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_html_extraction": op3_html_extraction,
 }
 
 ORACLE: dict[str, str] = {}
