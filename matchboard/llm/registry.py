@@ -6,9 +6,11 @@ import pathlib
 import tempfile
 import zipfile
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from matchboard.llm.html_text import extract_main_text
+from matchboard.llm.packed_tokens import token_digests
 from matchboard.llm.quality_rules import quality_rules
 
 _shipped: set[str] = set()
@@ -41,9 +43,14 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op4_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_html_extraction": op3_html_extraction,
+    "op4_packed_tokens": op4_packed_tokens,
 }
 
 ORACLE: dict[str, str] = {}
