@@ -1,28 +1,31 @@
 """Texts as chunks that a byte-level tokenizer encodes independently.
 
 The GPT-style pattern never matches across a step from a non-space character to a space,
-so a text cut before every single space is a sequence of chunks whose tokens do not
-depend on each other. Texts with two spaces in a row are kept whole, as a run of spaces
-is matched by looking ahead. What a chunk encodes to is remembered per worker, up to
+so a text cut at these steps is a sequence of chunks whose tokens do not depend on each
+other. A run of white space is never cut, as it is matched by looking ahead. What a chunk encodes to is remembered per worker, up to
 ``LIMIT`` chunks; then the memory starts anew, so it stays bounded.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 from typing import TypeVar
 
 LIMIT = 300_000
 LONG = 64  # longer chunks are encoded each time
 
+_RUN = re.compile(r"\s ").search
+_STEP = re.compile(r"(?<=\S)(?= )")
+
 T = TypeVar("T")
 
 
 def chunks(text: str) -> list[str]:
     if not text:
         return []
-    if "  " in text:
-        return [text]
+    if _RUN(text):
+        return _STEP.split(text)
     parts = text.split(" ")
     head = parts[0]
     out = [" " + part for part in parts]

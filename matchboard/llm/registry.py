@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from matchboard.llm.html_text import extract_main_text
+from matchboard.llm.merge_replay import bpe_digests
 from matchboard.llm.packed_tokens import token_digests
 from matchboard.llm.quality_rules import quality_rules
 
@@ -47,10 +48,16 @@ def op4_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_html_extraction": op3_html_extraction,
     "op4_packed_tokens": op4_packed_tokens,
+    "op10_merge_replay": op10_merge_replay,
 }
 
 ORACLE: dict[str, str] = {}
