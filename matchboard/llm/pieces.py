@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
-from typing import TypeVar
 
 LIMIT = 300_000
 LONG = 64  # longer chunks are encoded each time
@@ -18,8 +17,6 @@ LONG = 64  # longer chunks are encoded each time
 _RUN = re.compile(r"\s ").search
 _STEP = re.compile(r"(?<=\S)(?= )")
 
-T = TypeVar("T")
-
 
 def chunks(text: str) -> list[str]:
     if not text:
@@ -39,16 +36,16 @@ def chunks(text: str) -> list[str]:
 class Memory[T]:
     """Remembers ``encode`` of chunks; new chunks of many texts are encoded together."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[T]]):
+    def __init__(self, encode: Callable[[list], Iterable[T]]):
         self.encode = encode
-        self.known: dict[str, T] = {}
+        self.known: dict[str | bytes, T] = {}
 
-    def look_up(self, texts: list[list[str]]) -> dict[str, T]:
+    def look_up(self, texts: list[list]) -> dict[str | bytes, T]:
         """A mapping that holds every chunk of the texts."""
         known = self.known
         if len(known) > LIMIT:
             known.clear()
-        new: set[str] = set()
+        new: set[str | bytes] = set()
         for parts in texts:
             new.update(parts)
         new -= known.keys()

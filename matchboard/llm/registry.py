@@ -13,6 +13,7 @@ from matchboard.llm.html_text import extract_main_text
 from matchboard.llm.merge_replay import bpe_digests
 from matchboard.llm.packed_tokens import token_digests
 from matchboard.llm.quality_rules import quality_rules
+from matchboard.llm.token_counts import token_counts
 
 _shipped: set[str] = set()
 
@@ -53,10 +54,15 @@ def op10_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_html_extraction": op3_html_extraction,
     "op4_packed_tokens": op4_packed_tokens,
+    "op9_token_counts": op9_token_counts,
     "op10_merge_replay": op10_merge_replay,
 }
 
