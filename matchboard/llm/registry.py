@@ -9,6 +9,8 @@ import zipfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from matchboard.llm.decontamination import SQL as OP6_SQL
+from matchboard.llm.decontamination import contamination
 from matchboard.llm.html_text import extract_main_text
 from matchboard.llm.merge_replay import bpe_digests
 from matchboard.llm.packed_tokens import token_digests
@@ -58,12 +60,18 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash", "hit")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_html_extraction": op3_html_extraction,
     "op4_packed_tokens": op4_packed_tokens,
+    "op6_decontamination": op6_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_merge_replay": op10_merge_replay,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op6_decontamination": OP6_SQL}
