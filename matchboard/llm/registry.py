@@ -16,6 +16,7 @@ from matchboard.llm.merge_replay import bpe_digests
 from matchboard.llm.packed_tokens import token_digests
 from matchboard.llm.quality_rules import quality_rules
 from matchboard.llm.token_counts import token_counts
+from matchboard.llm.zstd_quality import quality_scores
 
 _shipped: set[str] = set()
 
@@ -65,11 +66,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash", "hit")
 
 
+def op7_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_html_extraction": op3_html_extraction,
     "op4_packed_tokens": op4_packed_tokens,
     "op6_decontamination": op6_decontamination,
+    "op7_zstd_quality": op7_zstd_quality,
     "op9_token_counts": op9_token_counts,
     "op10_merge_replay": op10_merge_replay,
 }
