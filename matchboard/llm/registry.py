@@ -15,6 +15,8 @@ from matchboard.llm.html_text import extract_main_text
 from matchboard.llm.merge_replay import bpe_digests
 from matchboard.llm.packed_tokens import token_digests
 from matchboard.llm.quality_rules import quality_rules
+from matchboard.llm.substring_dedup import earlier_digests
+from matchboard.llm.suffix_dedup import repeat_digests
 from matchboard.llm.token_counts import token_counts
 from matchboard.llm.zstd_quality import quality_scores
 
@@ -44,6 +46,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -70,12 +76,18 @@ def op7_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return earlier_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op4_packed_tokens": op4_packed_tokens,
     "op6_decontamination": op6_decontamination,
     "op7_zstd_quality": op7_zstd_quality,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_merge_replay": op10_merge_replay,
 }
