@@ -13,6 +13,7 @@ from matchboard.llm.decontamination import SQL as OP6_SQL
 from matchboard.llm.decontamination import contamination
 from matchboard.llm.html_text import extract_main_text
 from matchboard.llm.merge_replay import bpe_digests
+from matchboard.llm.near_dedup import near_duplicates
 from matchboard.llm.packed_tokens import token_digests
 from matchboard.llm.quality_rules import quality_rules
 from matchboard.llm.substring_dedup import earlier_digests
@@ -80,11 +81,16 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return earlier_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op4_packed_tokens": op4_packed_tokens,
+    "op5_near_dedup": op5_near_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_zstd_quality": op7_zstd_quality,
     "op8_substring_dedup": op8_substring_dedup,
