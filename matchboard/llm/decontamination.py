@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 WIDTH = 13
 BROADCAST_WINDOWS = 500_000
 
+# helper columns beside a caller's own
+_ID, _HASH, _HIT = "__window_doc_id", "__window_hash", "__window_hit"
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _GAPS_CASED = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -97,9 +100,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
     rows = _keyed(docs).select(*key, F.size("words").alias("n_words"))
 
     def attach(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
-        right = right.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), column)
-        same = left.text_hash.eqNullSafe(right._h) & left.doc_id.eqNullSafe(right._d)
-        return left.join(right, same, "left").drop("_d", "_h")
+        right = right.select(F.col("doc_id").alias(_ID), F.col("text_hash").alias(_HASH), column)
+        same = left.text_hash.eqNullSafe(right[_HASH]) & left.doc_id.eqNullSafe(right[_ID])
+        return left.join(right, same, "left").drop(_ID, _HASH)
 
     both = attach(attach(rows, places, "hit"), names, "ids")
     n_hit = F.coalesce(F.size("hit"), F.lit(0)).cast("bigint")
@@ -125,14 +128,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     found = contamination(docs, benchmark, width).where("contaminated" if remove == "documents" else "n_hit > 0")
-    found = found.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("hit").alias("_hit"))
-    found = found.dropDuplicates(["_d", "_h"])
-    same = F.xxhash64("text").eqNullSafe(F.col("_h")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d"))
+    found = found.select(F.col("doc_id").alias(_ID), F.col("text_hash").alias(_HASH), F.col("hit").alias(_HIT))
+    found = found.dropDuplicates([_ID, _HASH])
+    same = F.xxhash64("text").eqNullSafe(F.col(_HASH)) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(_ID))
     if remove == "documents":
         return docs.join(found, same, "left_anti")
     cased = F.array_remove(F.split(F.coalesce("text", F.lit("")), _GAPS_CASED), "")
-    numbered = F.filter(cased, lambda word, at: ~F.array_contains("_hit", (at + 1).cast("int")))
-    text = F.when(F.col("_hit").isNull(), F.col("text")).otherwise(F.concat_ws(" ", numbered))
+    numbered = F.filter(cased, lambda word, at: ~F.array_contains(_HIT, (at + 1).cast("int")))
+    text = F.when(F.col(_HIT).isNull(), F.col("text")).otherwise(F.concat_ws(" ", numbered))
     joined = docs.join(found, same, "left")
     return joined.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 

@@ -153,7 +153,7 @@ def decode_ids(ids: list[int], path: str, pattern: str) -> bytes:
     return _encoder(path, pattern)[0].decode(iter(ids))
 
 
-def _runner(path: str, pattern: str):
+def _runner(path: str, pattern: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, memory = _encoder(path, pattern)
         for batch in batches:
@@ -161,26 +161,42 @@ def _runner(path: str, pattern: str):
                 part = batch.slice(first, 500)
                 parts = [chunks(text or "") for text in part.column(1).to_pylist()]
                 known = memory.look_up(parts)
-                counts, coded, decoded = [], [], []
+                counts, coded, decoded, kept = [], [], [], []
                 for p in parts:
                     found = [known[c] for c in p]
                     ids = [i for f in found for i in f[0]]
                     counts.append(len(ids))
+                    if with_ids:
+                        kept.append(ids)
                     text = " ".join([f[1] for f in found])
                     coded.append(hashlib.sha256(text.encode()).hexdigest())
                     decoded.append(hashlib.sha256(replay.decode(iter(ids))).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts, pa.int64()), pa.array(coded), pa.array(decoded)],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(coded), pa.array(decoded)]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    columns.append(pa.array(kept, pa.list_(pa.int32())))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def bpe_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Encode and decode every text: number of ids, digest of the ids, digest of the decoded bytes."""
+def bpe_digests(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Encode and decode every text: number of ids, digests of the ids and of the decoded bytes, and the ids if wanted."""
     rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
-    return rows.mapInArrow(_runner(path, pattern), SCHEMA)
+    return rows.mapInArrow(_runner(path, pattern, with_ids), SCHEMA + (", ids array<int>" if with_ids else ""))
+
+
+def decode_documents(coded: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id and text of rows with a column ``ids``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        replay, _ = _encoder(path, pattern)
+        for batch in batches:
+            texts = [replay.decode(iter(ids or ())).decode(errors="replace") for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    return coded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
 
 
 def bpe_encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:

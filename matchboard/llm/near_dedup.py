@@ -38,10 +38,11 @@ from pyspark.sql import functions as F
 
 from matchboard.llm import kernel
 from matchboard.llm.components import components
-from matchboard.llm.shared_windows import keyed, packed_texts, unpacked, with_document
+from matchboard.llm.shared_windows import pack_text, packed_texts, unpack_text, unpacked
 from matchboard.sources.staging import stage
 
 BLOCK = 512
+_KEPT = "__near_kept"  # helper column beside a caller's own
 
 
 @dataclass(frozen=True)
@@ -340,3 +341,14 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
         component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``docs`` that are the least of their component, with all their columns.
+
+    Of rows that share a kept doc_id one stays; rows with a null doc_id all stay.
+    """
+    kept = near_duplicates(docs, how).where("kept and doc_id is not null").select(F.col("doc_id").alias(_KEPT)).distinct()
+    known = pack_text(docs.where("doc_id is not null"))
+    one = known.join(kept, known.doc_id.cast("bigint") == kept[_KEPT], "left_semi").dropDuplicates(["doc_id"])
+    return unpack_text(one).unionByName(docs.where("doc_id is null"))

@@ -108,3 +108,16 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     names = [part.split()[0] for part in SCHEMA.split(", ")]
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text").mapInArrow(run, SCHEMA)
+
+
+def good_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the rules keep."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, after, data, bounds in kernel.slices(batch.column(at)):
+                kept = _measure(data, bounds, rules)[6]
+                yield batch.slice(first, after - first).filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -34,6 +34,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from matchboard.llm import kernel
 from matchboard.sources.staging import stage
@@ -138,6 +139,43 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return keyed(docs).mapInArrow(_squeeze, "doc_id bigint, text_hash int, packed binary")
 
 
+def pack_text(docs: DataFrame) -> DataFrame:
+    """``docs`` with the column ``text`` compressed to binary, for a shuffle of whole rows."""
+    at, names = docs.columns.index("text"), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            columns = list(batch.columns)
+            packed = [None if t is None else squeeze(t.encode()) for t in columns[at].to_pylist()]
+            columns[at] = pa.array(packed, pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    fields = [StructField("text", BinaryType()) if f.name == "text" else f for f in docs.schema]
+    return docs.mapInArrow(run, StructType(fields))
+
+
+def unpack_text(rows: DataFrame, edit: Callable[[bytes, pa.RecordBatch, int], bytes] | None = None) -> DataFrame:
+    """The reverse of ``pack_text``; ``edit`` may change the bytes of a row's text first."""
+    at, names = rows.columns.index("text"), rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            texts: list[str | None] = []
+            for k, packed in enumerate(batch.column(at).to_pylist()):
+                raw = None if packed is None else expand(packed)
+                if raw and edit:
+                    raw = edit(raw, batch, k)
+                texts.append(None if raw is None else raw.decode(errors="ignore"))
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    fields = [StructField("text", StringType()) if f.name == "text" else f for f in rows.schema]
+    return rows.mapInArrow(run, StructType(fields))
+
+
 def unpacked(packed: pa.Array) -> list[bytes]:
     expand = zstandard.ZstdDecompressor().decompress
     return [expand(p) for p in packed.to_pylist()]

@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from matchboard.llm import kernel
 from matchboard.llm.shared_windows import (
     Windows,
+    pack_text,
     packed_texts,
     removed_windows,
+    unpack_text,
     unpacked,
     window_runs,
     with_document,
@@ -37,6 +39,9 @@ from matchboard.llm.shared_windows import (
 WIDTH = 200
 GRAM = 48
 
+# helper columns beside a caller's own
+_ID, _HASH, _OWN, _SPANS = "__repeat_doc_id", "__repeat_hash", "__repeat_own", "__repeat_spans"
+
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
@@ -121,9 +126,9 @@ def _resolver(width: int):
     return resolve
 
 
-def _spans(batch: pa.RecordBatch, k: int, n: int, width: int) -> np.ndarray:
+def _spans(batch: pa.RecordBatch, k: int, n: int, width: int, name: str = "spans") -> np.ndarray:
     """True at the removed bytes of row ``k``."""
-    spans = batch.column("spans")[k].as_py() or []
+    spans = batch.column(name)[k].as_py() or []
     low = np.array([s["low"] for s in spans], dtype=np.int64)
     high = np.array([s["high"] for s in spans], dtype=np.int64)
     return kernel.covered(low, high + width - 1, n)
@@ -165,22 +170,18 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
 
     A column ``n_chars`` is set to the new length. Null texts stay null.
     """
-    found = _removed(docs, width, gram).withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
-    doc_id, text_hash = docs.doc_id.cast("bigint"), F.hash(docs.text.cast("string"))
-    both = docs.join(found, doc_id.eqNullSafe(found._d) & text_hash.eqNullSafe(found._h), "left").drop("_d", "_h")
-    at, names = both.columns.index("text"), [c for c in both.columns if c != "spans"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for k, text in enumerate(texts):
-                if text and batch.column("spans")[k].is_valid:
-                    data = np.frombuffer(text.encode(), dtype=np.uint8)
-                    gone = _spans(batch, k, len(data), width)
-                    texts[k] = data[~gone].tobytes().decode(errors="ignore")
-            columns = [batch.column(c) for c in range(len(names))]
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    out = both.select(*names, "spans").mapInArrow(run, docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
+    found = _removed(docs, width, gram).withColumnsRenamed({"doc_id": _ID, "text_hash": _HASH, "spans": _SPANS})
+    own = pack_text(docs.withColumn(_OWN, F.hash(docs.text.cast("string"))))
+    same = own.doc_id.cast("bigint").eqNullSafe(found[_ID]) & own[_OWN].eqNullSafe(found[_HASH])
+    both = own.join(found, same, "left").drop(_ID, _HASH, _OWN)
+
+    def edit(raw: bytes, batch: pa.RecordBatch, k: int) -> bytes:
+        if not batch.column(_SPANS)[k].is_valid:
+            return raw
+        data = np.frombuffer(raw, dtype=np.uint8)
+        return data[~_spans(batch, k, len(data), width, _SPANS)].tobytes()
+
+    out = unpack_text(both, edit).drop(_SPANS)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
