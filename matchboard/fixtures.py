@@ -80,10 +80,7 @@ class Matches:
     @once
     def pairings(self) -> DataFrame:
         """Who plays whom and when, also a nation against itself."""
-        # Line number and supplier in one long, which unlike a struct is aggregated by
-        # hash; supplier keys stay far below 2**40.
-        line = F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_suppkey")
-        first = F.min(line).bitwiseAND(F.lit((1 << 40) - 1))
+        first = F.min_by("l_suppkey", F.struct("l_linenumber", "l_suppkey"))
         lines = self.table("lineitem").groupBy("l_orderkey").agg(first.alias("s_suppkey"))
         nation = self.table("nation").select("n_nationkey", "n_name")
         home = (

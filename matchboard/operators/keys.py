@@ -7,16 +7,23 @@ sort-merge join to be plain shuffles, and a distinct would otherwise feed its ow
 shuffle straight into the join; joining on the key and its hash makes Spark shuffle
 the distinct keys once more, which is cheap, and the row side becomes splittable.
 A small key side still becomes a broadcast join, by Spark's own size check.
+
+Both sides are cast to their common type before the hash is taken, as equal values of
+two types hash apart. Text with a collation compares equal where its bytes differ, so
+such keys are joined without the hash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _PROBE = "_key_hash"
+_KEY = "_key_{}"
 
 
 def semi_join(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -30,22 +37,40 @@ def anti_join(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> Data
 
 
 def _probe(df: DataFrame, other: DataFrame, key: str | Sequence[str], how: str) -> DataFrame:
-    keys = [key] if isinstance(key, str) else list(key)
-    probe = F.xxhash64(*keys)
-    left = df.withColumn(_PROBE, probe)
-    right = other.select(*keys).distinct().withColumn(_PROBE, probe)
-    return left.join(right, [*keys, _PROBE], how).select(*df.columns)
+    left, right, on = _aligned(df, other.select(*_names(key)), _names(key), ())
+    return left.join(right, on, how).select(*df.columns)
 
 
 def attach(
     df: DataFrame, other: DataFrame, key: str | Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
     """Rows of ``df`` once for each distinct value of ``columns`` their key has in ``other``."""
-    keys = [key] if isinstance(key, str) else list(key)
-    probe = F.xxhash64(*keys)
-    right = other.select(*keys, *columns).distinct().withColumn(_PROBE, probe)
-    joined = df.withColumn(_PROBE, probe).join(right, [*keys, _PROBE])
-    return joined.select(*df.columns, *columns)
+    left, right, on = _aligned(df, other, _names(key), columns)
+    return left.join(right, on).select(*df.columns, *columns)
+
+
+def _names(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _aligned(
+    df: DataFrame, other: DataFrame, keys: list[str], columns: Sequence[str]
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with equal-typed key columns to join on, the right one distinct."""
+    common = df.select(*keys).limit(0).union(other.select(*keys).limit(0)).schema
+    on = [_KEY.format(i) for i in range(len(keys))]
+    typed = {name: F.col(key).cast(field.dataType) for name, key, field in zip(on, keys, common)}
+    right = other.select(*[c.alias(n) for n, c in typed.items()], *columns).distinct()
+    left = df.withColumns(typed)
+    if all(not isinstance(f.dataType, StringType) or _binary(f.dataType) for f in common):
+        probe = F.xxhash64(*on)
+        left, right = left.withColumn(_PROBE, probe), right.withColumn(_PROBE, probe)
+        on = [*on, _PROBE]
+    return left, right, on
+
+
+def _binary(kind: StringType) -> bool:
+    return kind.collation == "UTF8_BINARY"
 
 
 def reconcile(
@@ -70,24 +95,21 @@ def duplicate_rows(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 def distinct_count(df: DataFrame, *columns: str) -> DataFrame:
     """Rows, distinct values (null is one value) and surplus rows of each column.
 
-    All columns share one scan and one aggregation.
+    Each column is grouped by its own type, so 0.0 and -0.0 are one value, and Spark
+    merges equal values before the shuffle.
     """
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-        for c in columns
-    ]
-    counts = df.select(F.inline(F.array(*cells))).groupBy("column", "value")
-    copies = counts.agg(F.count("*").alias("n"))
-    totals = [
-        F.struct(
+    parts = [
+        df.groupBy(c)
+        .agg(F.count("*").alias("n"))
+        .agg(
             F.lit(c).alias("column"),
-            F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias("rows"),
-            F.count_if(own).alias("distinct_values"),
-            F.coalesce(F.sum(F.when(own, F.col("n") - 1)), F.lit(0)).alias("surplus"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.count("*").alias("distinct_values"),
+            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus"),
         )
-        for c, own in ((c, F.col("column") == c) for c in columns)
+        for c in columns
     ]
-    return copies.agg(F.array(*totals).alias("totals")).select(F.inline("totals"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def presence(tables: dict[str, DataFrame], key: str | Sequence[str]) -> DataFrame:

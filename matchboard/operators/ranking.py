@@ -16,22 +16,20 @@ from pyspark.sql import functions as F
 
 from matchboard.sources.staging import stage
 
-# A group up to this size is numbered by one task, which streams it from a sort.
-ROWS_PER_TASK = 1_000_000
-SLICES = 64
-
 
 def rank_rows(
     df: DataFrame,
     group_cols: Sequence[str],
     order: Sequence[tuple[str, str]],
     name: str = "ranking",
-    slices: int = SLICES,
+    slices: int = 1,
 ) -> DataFrame:
     """Add ``name``: the row number in each group under ``order``.
 
     ``order`` lists (column, "asc" | "desc"); it must be total within a group.
-    ``slices=1`` is the plain window, for groups proven small; see ``slices_for``.
+    ``slices=1`` is the plain window, in which one task streams a group from a sort.
+    Give more, for example ``spark.sql.shuffle.partitions``, where a group is too large
+    for that; the input is then written once while this function runs.
     """
     by = _sorting(order)
     if slices == 1:
@@ -62,14 +60,6 @@ def rank_rows(
     return ranked.select(*df.columns, rank.alias(name))
 
 
-def slices_for(entities: DataFrame) -> int:
-    """1 if no group can exceed what one task should number, else ``SLICES``.
-
-    ``entities`` lists every entity that may be ranked, once per group.
-    """
-    return 1 if entities.count() <= ROWS_PER_TASK else SLICES
-
-
 def top_rows(
     df: DataFrame,
     group_cols: Sequence[str],

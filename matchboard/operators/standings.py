@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from matchboard.functions.casts import at, time_type
 from matchboard.operators.keys import anti_join
-from matchboard.operators.ranking import rank_rows, slices_for
+from matchboard.operators.ranking import rank_rows
 
+WEEK_MICROSECONDS = 7 * 24 * 3600 * 1_000_000
+# Measures of a table, its rank keys, and the outcomes of a match.
 MEASURES = ("wins", "draws", "losses", "goals_for", "goals_against")
 RANK_ORDER = (
     ("points", "desc"),
@@ -47,21 +49,21 @@ def standings(
     group_cols: Sequence[str] = (),
     as_of: datetime | None = None,
     points: Points = Points(),
-    slices: int | None = None,
+    slices: int = 1,
 ) -> DataFrame:
     """Standings over the facts up to ``as_of``, with a zero row for idle teams.
 
     ``teams`` holds ``team`` and the group columns. Its rows join the sums as zero
-    results, so no team is looked up or missed. Its size also decides how the rank
-    is split, so it should list all teams; others are ranked as well, but the job
-    checks refuse them.
+    results, so no team is looked up or missed. Teams it does not list are ranked as
+    well, but the job checks refuse them. ``slices`` splits the ranking of one group;
+    see ``rank_rows``.
     """
     if as_of is not None:
         kind = time_type(facts, "updated_at")
         facts = facts.filter(F.col("updated_at") <= at(as_of, kind))
     rows = team_results(facts, group_cols).unionByName(_idle(teams, group_cols))
     totals = _scored(rows.groupBy(*group_cols, "team").agg(*_sums()), points)
-    ranked = rank_rows(totals, group_cols, RANK_ORDER, slices=slices or slices_for(teams))
+    ranked = rank_rows(totals, group_cols, RANK_ORDER, slices=slices)
     return ranked.select(*group_cols, "ranking", "team", *MEASURES, "points")
 
 
@@ -78,12 +80,12 @@ def standings_history(
     last: datetime,
     group_cols: Sequence[str] = (),
     points: Points = Points(),
-    slices: int | None = None,
+    slices: int = 1,
 ) -> DataFrame:
     """Standings of every weekly snapshot from ``first`` to ``last`` in one job.
 
-    ``facts.updated_at`` must lie on the weekly grid of ``first``. Matches are
-    summed per team and week, running sums give the totals, and the weeks in which
+    A match whose ``updated_at`` is off the weekly grid of ``first`` counts from the
+    next snapshot on. Matches are summed per team and week, running sums give the totals, and the weeks in which
     a team does not play are filled after the running sum, so only weeks with
     matches are shuffled.
     """
@@ -92,8 +94,10 @@ def standings_history(
     entity = [*group_cols, "team"]
 
     # Earlier matches count from the first snapshot on.
-    played = facts.filter(F.col("updated_at") <= end)
-    played = played.withColumn("updated_at", F.greatest("updated_at", begin))
+    late = F.expr("timestampdiff(MICROSECOND, _begin, updated_at)") / F.lit(WEEK_MICROSECONDS)
+    snapped = begin + F.make_dt_interval(days=(F.ceil(late) * 7).cast("int"))
+    played = facts.withColumn("_begin", begin).withColumn("updated_at", F.greatest(snapped, begin))
+    played = played.drop("_begin").filter(F.col("updated_at") <= end)
     idle = _idle(teams, group_cols).withColumn("updated_at", begin)
     rows = team_results(played, [*group_cols, "updated_at"]).unionByName(idle)
     weekly = rows.groupBy(*entity, "updated_at").agg(*_sums())
@@ -113,7 +117,7 @@ def standings_history(
     ).drop("valid_to")
     totals = _scored(snapshots, points)
     snapshot = [*group_cols, "updated_at"]
-    ranked = rank_rows(totals, snapshot, RANK_ORDER, slices=slices or slices_for(teams))
+    ranked = rank_rows(totals, snapshot, RANK_ORDER, slices=slices)
     return ranked.select(*group_cols, "ranking", "team", *MEASURES, "points", "updated_at")
 
 

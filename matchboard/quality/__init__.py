@@ -17,6 +17,7 @@ from matchboard.quality.validate import (
     enforce,
     failures,
     sample_values,
+    summary,
     validate,
     violations,
 )
@@ -36,6 +37,7 @@ __all__ = [
     "enforce",
     "failures",
     "sample_values",
+    "summary",
     "validate",
     "violations",
 ]

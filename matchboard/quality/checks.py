@@ -112,7 +112,7 @@ class TimeBetween:
 
 @dataclass(frozen=True)
 class OneOf:
-    """Known values only; null passes.
+    """Known values only; null passes, and a null in the list allows nothing else.
 
     ``allowed`` is a short list, or a one-column frame for lists of any length.
     """
@@ -126,7 +126,8 @@ class OneOf:
         return (self.column,)
 
     def broken(self, df: DataFrame) -> Column:
-        return F.col(self.column).isNotNull() & ~F.col(self.column).isin(list(self.allowed))
+        known = [value for value in self.allowed if value is not None]
+        return F.col(self.column).isNotNull() & ~F.col(self.column).isin(known)
 
 
 @dataclass(frozen=True)

@@ -1,8 +1,8 @@
 """Metrics of a check suite, the rows behind them, and what to do about them.
 
-However many checks a suite has, a frame is read twice: once for all row checks,
-which become counters of one aggregate, and once for all group checks, whose keys
-go through one aggregate together. Checks against other tables take one pass each.
+However many row checks a suite has, a frame is read once for them: they become
+counters of one aggregate. Each group check is one aggregate over its own key, and
+checks against other tables take one pass each.
 """
 
 from __future__ import annotations
@@ -26,10 +26,6 @@ from matchboard.quality.checks import (
     Unique,
 )
 
-# Broken checks listed to the driver at most.
-LISTED = 10_000
-
-
 class ValidationError(AssertionError):
     """A strict suite failed; ``failed`` holds the metrics of the broken checks."""
 
@@ -87,24 +83,30 @@ def violations(df: DataFrame, check) -> DataFrame:
 
 
 def sample_values(df: DataFrame, check, n: int = 5) -> DataFrame:
-    """Up to ``n`` of the values that break a check."""
-    return violations(df, check).select(*check.columns).limit(n)
+    """The first ``n`` of the different values that break a check, in their order."""
+    return violations(df, check).select(*check.columns).distinct().orderBy(*check.columns).limit(n)
+
+
+def failures(metrics: DataFrame) -> DataFrame:
+    """The broken checks, one row for each check and group."""
+    return metrics.filter(~F.col("passed"))
 
 
-def failures(metrics: DataFrame, limit: int = LISTED) -> list[Row]:
-    """The broken checks, in suite order.
+def summary(metrics: DataFrame) -> list[Row]:
+    """The broken checks in suite order, with all violations and the number of broken groups.
 
-    Metrics per group can be many, so the driver takes the first ``limit`` of them;
-    the metrics frame has them all.
+    One row per check reaches the driver, however many groups there are.
     """
-    return metrics.filter(~F.col("passed")).orderBy("check_no").limit(limit).collect()
+    broken = failures(metrics).groupBy("check_no", "check", "target")
+    exact = broken.agg(F.sum("violations").alias("violations"), F.count("*").alias("groups"))
+    return exact.orderBy("check_no", "target").collect()
 
 
 def enforce(metrics: DataFrame, mode: str = "strict") -> list[Row]:
-    """Return the broken checks; in strict mode raise with all of them."""
+    """Return the summary of broken checks; in strict mode raise with all of them."""
     if mode not in ("soft", "strict"):
         raise ValueError(f"mode must be soft or strict, not {mode}")
-    failed = failures(metrics)
+    failed = summary(metrics)
     if failed and mode == "strict":
         raise ValidationError(failed)
     return failed
@@ -125,27 +127,14 @@ def _row_metrics(df: DataFrame, checks: list, by: Sequence[str]) -> DataFrame:
 
 
 def _group_metrics(df: DataFrame, checks: list, by: Sequence[str]) -> DataFrame:
-    # Every row contributes one key per check; the map-side aggregate merges
-    # equal keys before the shuffle.
-    keys = [
-        F.struct(
-            F.lit(number).alias("check_no"),
-            F.array(*[F.col(c).cast("string") for c in check.columns]).alias("key"),
-        )
-        for number, check in checks
-    ]
-    copies = (
-        df.select(*by, F.inline(F.array(*keys)))
-        .groupBy(*by, "check_no", "key")
-        .agg(F.count("*").alias("copies"))
-    )
-    counters = [
-        F.coalesce(
-            F.sum(F.when(F.col("check_no") == number, check.surplus(F.col("copies")))), F.lit(0)
-        ).alias(f"n{number}")
-        for number, check in checks
-    ]
-    return _unpivot(copies.groupBy(*by).agg(*counters), checks, by)
+    # One aggregation per key, by native types; the map side merges equal keys first.
+    parts = []
+    for number, check in checks:
+        keys = [c for c in dict.fromkeys(check.columns) if c not in by]
+        copies = df.groupBy(*by, *keys).agg(F.count("*").alias("_copies"))
+        count = F.coalesce(F.sum(check.surplus(F.col("_copies"))), F.lit(0)).alias(f"n{number}")
+        parts.append(_unpivot(copies.groupBy(*by).agg(count), [(number, check)], by))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _same_ids(number: int, check: SameIds, by: Sequence[str]) -> DataFrame:
@@ -226,6 +215,5 @@ def _target(check) -> str:
 def _describe(row: Row) -> str:
     seen = "column missing" if row["violations"] is None else f"{row['violations']} violations"
     where = row.asDict()
-    extra = {"check_no", "check", "target", "violations", "passed"}
-    group = ", ".join(f"{k}={v}" for k, v in where.items() if k not in extra)
-    return f"{row['check']} {row['target']}: {seen}" + (f" ({group})" if group else "")
+    groups = where.get("groups", 1)
+    return f"{row['check']} {row['target']}: {seen}" + (f" in {groups} groups" if groups > 1 else "")

@@ -98,3 +98,28 @@ def test_small_key_side_is_broadcast(sides):
     out = semi_join(left, right, "id")
     out.collect()
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+PAIRS = [
+    ("int", "bigint"), ("date", "timestamp"), ("timestamp_ntz", "date"), ("decimal(5,1)", "decimal(12,3)"),
+    ("float", "double"), ("string collate utf8_lcase", "string collate utf8_lcase"),
+]
+
+
+@pytest.mark.parametrize("left,right", [*PAIRS, *[(b, a) for a, b in PAIRS]])
+def test_keys_of_different_types_match(spark, left, right, rows):
+    texts = {"date": "2025-01-0{}", "timestamp": "2025-01-0{}", "timestamp_ntz": "2025-01-0{}"}
+    frames = [
+        spark.createDataFrame([(texts.get(kind, "{}").format(k), k) for k in keys], "k string, n int").withColumn(
+            "k", F.expr("k collate utf8_lcase") if "collate" in kind else F.col("k").cast(kind)
+        )
+        for kind, keys in ((left, (1, 2, 3)), (right, (2, 3, 3, 4)))
+    ]
+    assert rows(semi_join(*frames, "k"), "n") == [(2,), (3,)]
+    assert rows(anti_join(*frames, "k"), "n") == [(1,)]
+    assert rows(attach(frames[0], frames[1].withColumnRenamed("n", "m"), "k", ["m"]), "n", "m") == [(2, 2), (3, 3)]
+
+
+def test_distinct_count_of_zeros(spark, rows):
+    zeros = spark.createDataFrame([(0.0,), (-0.0,)], "x double")
+    assert rows(distinct_count(zeros, "x")) == [("x", 2, 1, 1)]

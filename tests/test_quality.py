@@ -144,7 +144,7 @@ def test_frame_check_by_group(spark, games):
 
 def test_enforce(games):
     metrics = validate(games, [NotNull("round"), NotNull("id"), Unique("id")])
-    assert [r["check"] for r in failures(metrics)] == ["not_null", "unique"]
+    assert [r["check"] for r in failures(metrics).orderBy("check_no").collect()] == ["not_null", "unique"]
     assert len(enforce(metrics, "soft")) == 2
     with pytest.raises(ValidationError) as error:
         enforce(metrics)
@@ -161,9 +161,32 @@ def test_violating_groups_and_samples(games, rows):
 
 
 def test_checks_of_a_kind_share_a_pass(games, spark):
-    """Two scans for a suite of row and group checks, whatever its length."""
+    """One scan for all row checks, and one for each group check."""
     checks = [NotNull(c) for c in games.columns] + [Unique(c) for c in games.columns]
     path = spark.conf.get("spark.checkpoint.dir") + "/passes"
     games.write.mode("overwrite").parquet(path)
     plan = validate(spark.read.parquet(path), checks)._jdf.queryExecution().optimizedPlan()
-    assert plan.toString().count("Relation [") == 2
+    assert plan.toString().count("Relation [") == 1 + len(games.columns)
+
+
+def test_all_failures_are_reported(spark):
+    groups = spark.range(12_000).select("id", F.lit(None).cast("string").alias("v"))
+    metrics = validate(groups, [NotNull("v")], by=["id"])
+    assert failures(metrics).count() == 12_000
+    (row,) = enforce(metrics, "soft")
+    assert (row["violations"], row["groups"]) == (12_000, 12_000)
+
+
+def test_null_in_an_allowed_list(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    assert counts(df, OneOf("k", [1, None])) == [("one_of", 2, False)]
+
+
+def test_allowed_frame_of_another_type(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    assert counts(df, OneOf("k", spark.createDataFrame([(1,), (2,)], "v bigint"))) == [("one_of", 1, False)]
+
+
+def test_unique_compares_values_of_their_own_type(spark):
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "x double")
+    assert counts(zeros, Unique("x")) == [("unique", 1, False)]

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchboard.operators.ranking import rank_rows, slices_for, top_rows
+from matchboard.operators.ranking import rank_rows, top_rows
 
 ORDER = (("points", "desc"), ("goals", "asc"), ("team", "asc"))
 
@@ -47,10 +47,6 @@ def test_slices_split_one_group(spark, monkeypatch):
     assert len(sizes) == 16 and max(sizes) < 3 * 20_000 / 16
 
 
-def test_slices_for(table):
-    assert slices_for(table) == 1
-
-
 def test_top_rows_prunes_before_the_shuffle(table):
     top = top_rows(table, ["league"], ORDER, 3)
     assert top.groupBy("league").count().filter("count <> 3").isEmpty()
