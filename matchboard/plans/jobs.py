@@ -1,14 +1,19 @@
 """The jobs: ingest, match facts, standings, recent form, and runs of all of them.
 
 Each layer is staged once, checked on the staged table and written from it, so the
-raw files are parsed once and no check repeats a join.
+raw files are parsed once and no check repeats a join. What a job stages lies in a folder
+of its run, which is removed at its end. Metrics of the checks and rejected rows are
+stored tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce, wraps
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,15 +29,15 @@ from matchboard.functions.periods import (
     week_index,
     week_period,
 )
-from matchboard.operators.cleaning import clean_schedule, clean_scores, in_period
+from matchboard.operators.cleaning import REASONS, clean_schedule, clean_scores, in_period
 from matchboard.operators.facts import match_facts
 from matchboard.operators.form import recent_form
-from matchboard.operators.keys import attach, reconcile, semi_join
+from matchboard.operators.keys import anti_join, attach, reconcile, semi_join
 from matchboard.operators.standings import standings, standings_history
 from matchboard.quality import suites
-from matchboard.quality.checks import SameCount
+from matchboard.quality.checks import HasSchema, SameCount
 from matchboard.quality.suites import PeriodBounds
-from matchboard.quality.validate import enforce, validate
+from matchboard.quality.validate import ValidationError, enforce, failures, validate
 from matchboard.schemas import (
     MATCH_FACTS,
     RAW_SCHEDULE,
@@ -40,10 +45,12 @@ from matchboard.schemas import (
     SCHEDULE,
     SCORES,
     STANDINGS,
+    column_names,
     layout,
 )
-from matchboard.sources.staging import stage
+from matchboard.sources.staging import run_folder, stage
 from matchboard.sources.tables import (
+    CORRUPT,
     FORMAT,
     SNAPSHOT,
     clear_snapshot,
@@ -59,6 +66,9 @@ SCORES_FILE, SCHEDULE_FILE = "scores.csv", "schedule.csv"
 BRONZE_SCORES, BRONZE_SCHEDULE = "bronze/scores", "bronze/schedule"
 SILVER_FACTS = "silver/match_facts"
 GOLD_STANDINGS = "gold/standings"
+REJECTED_SCORES, REJECTED_SCHEDULE = "bronze/rejected_scores", "bronze/rejected_schedule"
+QUALITY = "quality/{}"
+MALFORMED = "malformed line"
 HISTORY = "_hist"
 FINAL_CSV = "standings_final.csv"
 HISTORY_CSV = "standings_historical.csv"
@@ -80,6 +90,7 @@ class Config:
     fmt: str = FORMAT
     time: str = "timestamp"
     mode: str = "strict"
+    rank_slices: int = 1  # tasks that number one ranking; see ``rank_rows``
 
     def table(self, name: str, weekly: bool) -> str:
         return f"{self.base}/{name}{HISTORY if weekly else ''}"
@@ -87,28 +98,65 @@ class Config:
 
 @dataclass
 class Report:
-    """Broken checks by layer, and the rows that would not cast."""
-
-    broken: dict[str, list[Row]] = field(default_factory=dict)
-    rejected: dict[str, DataFrame] = field(default_factory=dict)
-
-    def note(self, layer: str, metrics: DataFrame, mode: str) -> None:
-        self.broken[layer] = enforce(metrics, mode)
+    """Broken checks by layer, one row for each check; the metrics of all are stored.
 
+    ``metrics`` and ``rejected`` name the stored tables.
+    """
 
+    broken: dict[str, list[Row]] = field(default_factory=dict)
+    metrics: dict[str, str] = field(default_factory=dict)
+    rejected: dict[str, str] = field(default_factory=dict)
+    left_out: list = field(default_factory=list)  # snapshots that a backfill did not publish
+
+    def note(self, cfg: Config, layer: str, metrics: DataFrame, period: Period | None, mode: str) -> DataFrame:
+        """Store metrics, list what is broken, and raise in strict mode.
+
+        ``period`` is the snapshot of a weekly run; metrics by snapshot have their own.
+        """
+        if period is not None:
+            metrics = metrics.withColumn(SNAPSHOT, at(period.updated_at, cfg.time))
+        weekly = SNAPSHOT in metrics.columns
+        path = cfg.table(QUALITY.format(layer), weekly)
+        self.metrics[layer] = path
+        if weekly:
+            write_snapshots(metrics, path, cfg.fmt, replace_all=period is None)
+        else:
+            write_table(metrics, path, cfg.fmt)
+        stored = read_table(metrics.sparkSession, path, metrics.schema, cfg.fmt)
+        if period is not None:
+            stored = stored.filter(F.col(SNAPSHOT) == at(period.updated_at, cfg.time))
+        self.broken[layer] = enforce(stored, mode)
+        return stored
+
+
+def _in_run_folder(job: Callable) -> Callable:
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with run_folder(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
+
+
+@_in_run_folder
 def ingest(spark: SparkSession, cfg: Config, period: Period, weekly: bool) -> Report:
     """Raw files to checked, typed bronze tables for one period."""
-    raw_scores, raw_schedule = _read_source(spark, cfg)
-    scores = stage(in_period(raw_scores, period), "raw-scores")
+    report = Report()
+    snapshot = period if weekly else None
+    raw_scores, raw_schedule = _read_source(spark, cfg, report, snapshot)
+    unread = F.col(CORRUPT).isNotNull() & to_time("ingestion_time", cfg.time).isNull()
+    slice_ = in_period(raw_scores, period).unionByName(raw_scores.filter(unread))
+    scores = stage(slice_, "raw-scores")
     schedule = stage(semi_join(raw_schedule, scores, "game_id"), "raw-schedule")
     bounds = PeriodBounds.of(period)
     stamp = at(period.updated_at, cfg.time)
-    report, scores, schedule = _bronze(cfg, scores, schedule, bounds, stamp, ())
-    for name, df in ((BRONZE_SCHEDULE, schedule), (BRONZE_SCORES, scores)):
+    scores, schedule, rejected, _ = _bronze(cfg, report, scores, schedule, bounds, stamp, (), snapshot)
+    for name, df in ((BRONZE_SCHEDULE, schedule), (BRONZE_SCORES, scores), *rejected.items()):
         _store(df, cfg, name, weekly, period)
     return report
 
 
+@_in_run_folder
 def build_facts(spark: SparkSession, cfg: Config, period: Period, weekly: bool) -> Report:
     """Bronze tables of one period to checked match facts."""
     schedule = _read(spark, cfg, BRONZE_SCHEDULE, SCHEDULE, weekly, "updated_at {time}")
@@ -121,19 +169,34 @@ def build_facts(spark: SparkSession, cfg: Config, period: Period, weekly: bool)
     tables = {"schedule": schedule, "scores": scores, "matches": facts}
     report = Report()
     checks = suites.match_facts(PeriodBounds.of(period), tables, cfg.time)
-    report.note("match_facts", validate(facts, checks), cfg.mode)
+    report.note(cfg, "match_facts", validate(facts, checks), period if weekly else None, cfg.mode)
     _store(facts, cfg, SILVER_FACTS, weekly, period)
     return report
 
 
+@_in_run_folder
 def build_standings(spark: SparkSession, cfg: Config, period: Period, weekly: bool) -> Report:
-    """Facts up to the period's end to checked standings."""
+    """Facts up to the period's end to checked standings.
+
+    A weekly run also rewrites the stored snapshots after its own, whose totals include
+    this week, so an old week may be run again.
+    """
     facts = _read(spark, cfg, SILVER_FACTS, MATCH_FACTS, weekly, "updated_at {time}")
-    table = standings(facts, cfg.teams, as_of=period.updated_at)
-    table = stage(table.withColumn(SNAPSHOT, at(period.updated_at, cfg.time)), "standings")
+    now = at(period.updated_at, cfg.time)
+    later = _later_snapshots(spark, cfg, now) if weekly else None
+    if later is None:
+        table = standings(facts, cfg.teams, as_of=period.updated_at, slices=cfg.rank_slices)
+        table = table.withColumn(SNAPSHOT, now)
+    else:
+        last = later.agg(F.max(SNAPSHOT).cast("timestamp_ntz").alias("last")).first()["last"]
+        table = standings_history(facts, cfg.teams, period.updated_at, last, slices=cfg.rank_slices)
+        wanted = later.unionByName(spark.range(1).select(now.alias(SNAPSHOT)))
+        table = semi_join(table, wanted, SNAPSHOT)
+    table = stage(table, "standings")
     report = Report()
     checks = suites.standings(cfg.teams, cfg.teams.count(), period.max_round)
-    report.note("standings", validate(table, checks), cfg.mode)
+    own = table.filter(F.col(SNAPSHOT) == now)
+    report.note(cfg, "standings", validate(own, checks), period if weekly else None, cfg.mode)
     if weekly:
         write_snapshots(table, cfg.table(GOLD_STANDINGS, True), cfg.fmt)
     else:
@@ -141,6 +204,17 @@ def build_standings(spark: SparkSession, cfg: Config, period: Period, weekly: bo
     return report
 
 
+def _later_snapshots(spark: SparkSession, cfg: Config, now) -> DataFrame | None:
+    """Stored standings snapshots after ``now``, None if there are none."""
+    try:
+        later = read_history(spark, cfg).select(SNAPSHOT).filter(F.col(SNAPSHOT) > now).distinct()
+        return None if later.isEmpty() else later
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def build_form(spark: SparkSession, cfg: Config, n: int = 5, k: int = 3) -> DataFrame:
     """Recent form of every stored snapshot, exported as sorted CSV."""
     form = recent_form(read_history(spark, cfg), n, k)
@@ -168,8 +242,21 @@ def export_standings(spark: SparkSession, cfg: Config, weekly: bool) -> str:
 
 
 def export_table(spark: SparkSession, cfg: Config, name: str, file: str) -> None:
-    """Any stored table, such as "gold/standings_hist", as CSV in the output folder."""
-    export_csv(read_table(spark, f"{cfg.base}/{name}", fmt=cfg.fmt), f"{cfg.output}/{file}")
+    """Any stored table, such as "gold/standings_hist", as CSV in the output folder.
+
+    The layers are read with their own schema, and histories are sorted by snapshot.
+    """
+    layers = {
+        BRONZE_SCORES: (SCORES, "ingestion_date date, updated_at {time}"),
+        BRONZE_SCHEDULE: (SCHEDULE, "updated_at {time}"),
+        SILVER_FACTS: (MATCH_FACTS, "updated_at {time}"),
+        GOLD_STANDINGS: (STANDINGS, "updated_at {time}" if name.endswith(HISTORY) else ""),
+    }
+    layer = name.removesuffix(HISTORY)
+    schema = layout(layers[layer][0], cfg.time, layers[layer][1]) if layer in layers else None
+    df = read_table(spark, f"{cfg.base}/{name}", schema, cfg.fmt)
+    order = [c for c in (SNAPSHOT, "ranking", "game_id") if c in df.columns]
+    export_csv(df, f"{cfg.output}/{file}", order)
 
 
 def run_season(spark: SparkSession, cfg: Config) -> list[Report]:
@@ -186,41 +273,53 @@ def run_week(spark: SparkSession, cfg: Config, week: int) -> list[Report]:
     return [step(spark, cfg, period, True) for step in (ingest, build_facts, build_standings)]
 
 
+@_in_run_folder
 def run_backfill(spark: SparkSession, cfg: Config, weeks: int | None = None) -> Report:
     """All weekly increments at once; equal to ``run_week`` for each week in turn.
 
     The default number of weeks is one more than the season has, for results that
-    arrive after its end. History tables are replaced as a whole.
+    arrive after its end. History tables are replaced as a whole. In strict mode a week
+    with a broken check is left out, as a weekly run would have stopped, and all others
+    are published; ``ValidationError`` names the broken checks afterwards.
     """
     weeks = cfg.season.weeks + 1 if weeks is None else weeks
     first, last = run_time(cfg.season, 1), run_time(cfg.season, weeks)
-    raw_scores, raw_schedule = _read_source(spark, cfg)
+    report = Report()
+    raw_scores, raw_schedule = _read_source(spark, cfg, report, None)
     ingested = to_time("ingestion_time", cfg.time)
-    scores = raw_scores.withColumn(
-        SNAPSHOT, week_end(week_index(ingested, cfg.season, cfg.time), cfg.season, cfg.time)
-    ).filter(F.col(SNAPSHOT) <= at(last, cfg.time))
-    scores = stage(scores, "raw-scores")
+    week = week_end(week_index(ingested, cfg.season, cfg.time), cfg.season, cfg.time)
+    unread = F.when(F.col(CORRUPT).isNotNull() & ingested.isNull(), at(last, cfg.time))
+    scores = raw_scores.withColumn(SNAPSHOT, F.coalesce(week, unread))
+    scores = stage(scores.filter(F.col(SNAPSHOT) <= at(last, cfg.time)), "raw-scores")
     schedule = stage(attach(raw_schedule, scores, "game_id", [SNAPSHOT]), "raw-schedule")
 
     stamp = F.col(SNAPSHOT)
     by = (SNAPSHOT,)
     bounds = PeriodBounds.by_row()
-    report, scores, schedule = _bronze(cfg, scores, schedule, bounds, stamp, by)
+    scores, schedule, rejected, broken = _bronze(cfg, report, scores, schedule, bounds, stamp, by, None)
     keys = ("game_id", SNAPSHOT)
+    scores, schedule, bad = _without(cfg, report, (scores, schedule), broken)
     facts = stage(match_facts(schedule, scores, keys), "facts")
     tables = {"schedule": schedule, "scores": scores, "matches": facts}
     checks = suites.match_facts(bounds, tables, cfg.time)
-    report.note("match_facts", validate(_with_period(facts, cfg), checks, by), cfg.mode)
-
-    history = stage(standings_history(facts, cfg.teams, first, last), "history")
+    metrics = report.note(cfg, "match_facts", validate(_with_period(facts, cfg), checks, by), None, "soft")
+    facts, bad_facts = _without(cfg, report, (facts,), [metrics])
+
+    history = standings_history(facts, cfg.teams, first, last, slices=cfg.rank_slices)
+    for left_out in (bad, bad_facts):
+        if left_out is not None:
+            history = anti_join(history, left_out, SNAPSHOT)
+    history = stage(history, "history")
     checks = suites.standings(cfg.teams, cfg.teams.count(), bounds.max_round)
-    report.note("standings", validate(_with_period(history, cfg), checks, by), cfg.mode)
+    metrics = report.note(cfg, "standings", validate(_with_period(history, cfg), checks, by), None, "soft")
+    history, _ = _without(cfg, report, (history,), [metrics])
 
     layers = {
         BRONZE_SCHEDULE: schedule,
         BRONZE_SCORES: scores,
         SILVER_FACTS: facts,
         GOLD_STANDINGS: history,
+        **rejected,
     }
 
     def publish(name: str) -> None:
@@ -230,39 +329,77 @@ def run_backfill(spark: SparkSession, cfg: Config, weeks: int | None = None) ->
     with ThreadPoolExecutor(len(layers)) as pool:
         list(pool.map(publish, layers))
     export_standings(spark, cfg, weekly=True)
+    if cfg.mode == "strict" and report.left_out:
+        strict = [row for layer, rows in report.broken.items() if layer not in SOFT for row in rows]
+        raise ValidationError(strict)
     return report
 
 
-def _read_source(spark: SparkSession, cfg: Config) -> tuple[DataFrame, DataFrame]:
-    return (
-        read_raw(spark, f"{cfg.source}/{SCORES_FILE}", RAW_SCORES),
-        read_raw(spark, f"{cfg.source}/{SCHEDULE_FILE}", RAW_SCHEDULE),
-    )
+# Layers whose checks never stop a run.
+SOFT = ("raw_scores", "raw_schedule")
 
 
-def _bronze(cfg, scores, schedule, bounds, stamp, by) -> tuple[Report, DataFrame, DataFrame]:
-    """Soft checks, cleaning, reconciliation and strict checks of a staged slice."""
-    report = Report()
-    for layer, df, suite in (
-        ("raw_scores", scores, suites.raw_scores),
-        ("raw_schedule", schedule, suites.raw_schedule),
+def _without(cfg: Config, report: Report, frames: tuple[DataFrame, ...], metrics: list[DataFrame]):
+    """The frames without snapshots that break a check, and these; unchanged in soft mode."""
+    if cfg.mode != "strict":
+        return (*frames, None)
+    bad = reduce(DataFrame.unionByName, [failures(m).select(SNAPSHOT) for m in metrics]).distinct()
+    bad = stage(bad, "left-out")
+    found = [row[SNAPSHOT] for row in bad.orderBy(SNAPSHOT).collect()]  # weeks, at most
+    if not found:
+        return (*frames, None)
+    report.left_out.extend(found)
+    return (*[stage(anti_join(df, bad, SNAPSHOT), "kept") for df in frames], bad)
+
+
+def _read_source(
+    spark: SparkSession, cfg: Config, report: Report, period: Period | None
+) -> tuple[DataFrame, DataFrame]:
+    """Both raw files with their malformed lines; a column they lack is a broken check."""
+    frames = []
+    for layer, file, columns in (
+        ("raw_scores_schema", SCORES_FILE, RAW_SCORES),
+        ("raw_schedule_schema", SCHEDULE_FILE, RAW_SCHEDULE),
     ):
-        report.note(layer, validate(_bounded(df, cfg, by), suite(bounds), by), "soft")
+        df = read_raw(spark, f"{cfg.source}/{file}", columns, keep_corrupt=True)
+        report.note(cfg, layer, validate(df, [HasSchema(layout(columns))]), period, cfg.mode)
+        absent = {c: F.lit(None).cast("string") for c in column_names(columns) if c not in df.columns}
+        frames.append(df.withColumns(absent) if absent else df)
+    return frames[0], frames[1]
+
 
-    scores, bad_scores = clean_scores(scores, stamp, cfg.time)
-    schedule, bad_schedule = clean_schedule(schedule, stamp, cfg.time)
-    report.rejected = {"scores": bad_scores, "schedule": bad_schedule}
-    scores, schedule = reconcile(scores, schedule, ["game_id", *by])
+def _bronze(cfg, report, scores, schedule, bounds, stamp, by, period):
+    """Soft checks, cleaning, reconciliation and strict checks of a staged slice.
+
+    Returns scores, schedule, rejected rows by table, and the metrics of the strict checks.
+    With ``by`` the metrics are kept per snapshot and the caller decides on them.
+    """
+    mode = "soft" if by else cfg.mode
+    rejected, good = {}, []
+    for layer, df, suite, clean, name in (
+        ("raw_scores", scores, suites.raw_scores, clean_scores, REJECTED_SCORES),
+        ("raw_schedule", schedule, suites.raw_schedule, clean_schedule, REJECTED_SCHEDULE),
+    ):
+        malformed = df.filter(F.col(CORRUPT).isNotNull())
+        whole = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        report.note(cfg, layer, validate(_bounded(whole, cfg, by), suite(bounds), by), period, "soft")
+        typed, bad = clean(whole, stamp, cfg.time)
+        broken = malformed.drop(CORRUPT).withColumn(REASONS, F.array(F.lit(MALFORMED)))
+        bad = bad.withColumn(SNAPSHOT, stamp).unionByName(broken.withColumn(SNAPSHOT, stamp))
+        rejected[name] = stage(bad, "rejected")
+        report.rejected[layer] = cfg.table(name, bool(by) or period is not None)
+        good.append(typed)
+    scores, schedule = reconcile(*good, ["game_id", *by])
     scores, schedule = stage(scores, "scores"), stage(schedule, "schedule")
 
-    report.note("row_counts", validate(scores, [SameCount(schedule)], by), cfg.mode)
+    metrics = [report.note(cfg, "row_counts", validate(scores, [SameCount(schedule)], by), period, mode)]
     for layer, df, suite in (
         ("bronze_scores", scores, suites.bronze_scores),
         ("bronze_schedule", schedule, suites.bronze_schedule),
     ):
         checks = suite(bounds, cfg.time)
-        report.note(layer, validate(_bounded(df, cfg, by), checks, by), cfg.mode)
-    return report, scores, schedule
+        metrics.append(report.note(cfg, layer, validate(_bounded(df, cfg, by), checks, by), period, mode))
+    return scores, schedule, rejected, metrics
 
 
 def _bounded(df: DataFrame, cfg: Config, by: tuple) -> DataFrame:

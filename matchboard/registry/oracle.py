@@ -439,7 +439,8 @@ _BODIES = {
         FROM whole_scores WHERE away_goals = 'x' OR ingestion_time = 'no time'""",
     "rejected_schedule": """SELECT *, 'round' AS rejected_columns FROM whole_schedule
         WHERE round = 'first'""",
-    "cast_rounds": """SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS plain_integers,
+    "cast_rounds": """SELECT count(*) AS "rows", count(TRY_CAST(game_id AS INTEGER)) AS plain_integers,
+               count(*) FILTER (regexp_full_match(round, '[0-9]+')) AS plain_rounds,
                count(TRY_CAST(round AS DOUBLE)) AS through_double,
                CAST(sum(trunc(TRY_CAST(round AS DOUBLE))) AS BIGINT) AS round_sum
         FROM raw_schedule""",
@@ -468,9 +469,7 @@ _BODIES = {
     ]),
     "duplicate_line_keys": """SELECT l_orderkey, l_linenumber, count(*) AS copies
         FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
-    "duplicate_line_rows": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-               l_quantity, l_shipdate
-        FROM lineitem
+    "duplicate_line_rows": """SELECT * FROM lineitem
         QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1""",
     "duplicate_score_rows": """SELECT * FROM raw_scores
         QUALIFY count(*) OVER (PARTITION BY game_id) > 1""",
@@ -494,8 +493,29 @@ _BODIES = {
     ),
     "allowed_values": """SELECT event_type, count(*) AS "rows" FROM events
         WHERE event_type NOT IN ('click', 'view', 'signup') GROUP BY ALL""",
-    "allowed_values_sample": """SELECT event_type FROM events
-        WHERE event_type NOT IN ('click', 'view', 'signup', 'purchase') LIMIT 5""",
+    "allowed_values_sample": """SELECT DISTINCT event_type FROM events
+        WHERE event_type NOT IN ('click', 'view') ORDER BY event_type LIMIT 5""",
+    "allowed_values_frame_mixed": _numbered([
+        ("one_of", "c_nationkey", _count(
+            "customer", "c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 2)"))
+    ]),
+    "semi_join_mixed_types": """SELECT c_custkey, c_nationkey FROM customer
+        WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 2)""",
+    "failure_report": """
+        SELECT updated_at, CAST(2 AS INTEGER) AS check_no, 'between' AS "check", 'home_goals' AS target,
+               count(*) AS violations
+        FROM facts WHERE home_goals < 1 OR home_goals > 5 GROUP BY updated_at
+        UNION ALL
+        SELECT updated_at, 3, 'differ', 'home_goals,away_goals', count(*)
+        FROM facts WHERE home_goals = away_goals GROUP BY updated_at
+        UNION ALL
+        SELECT updated_at, 1, 'unique', 'game_id', count(*) - count(DISTINCT game_id)
+        FROM facts GROUP BY updated_at HAVING count(*) > count(DISTINCT game_id)""",
+    "schema_mismatch": """SELECT CAST(1 AS INTEGER) AS check_no, 'schema' AS "check",
+        string_agg(name || ' is missing', ', ' ORDER BY name) AS target, count(*) AS violations,
+        false AS passed
+        FROM (VALUES ('n_nationkey'), ('n_name'), ('n_continent'), ('n_code')) wanted(name)
+        WHERE name NOT IN (SELECT column_name FROM (DESCRIBE nation))""",
     "allowed_teams": _numbered([
         ("one_of", c, _count(
             "facts", f"{c} NOT IN (SELECT n_name FROM nation WHERE n_regionkey < 2)"))
@@ -520,12 +540,12 @@ _BODIES = {
     ),
     "standings_with_absent": _ranked(_totals(_WEEK_FACTS)),
     "absent_in_week": f"""SELECT n_name AS team FROM nation
-        WHERE n_name NOT IN (SELECT home_team FROM {_WEEK_FACTS})
-          AND n_name NOT IN (SELECT away_team FROM {_WEEK_FACTS})""",
+        WHERE n_name NOT IN (SELECT home_team FROM {_WEEK_FACTS} WHERE home_goals > away_goals)
+          AND n_name NOT IN (SELECT away_team FROM {_WEEK_FACTS} WHERE away_goals > home_goals)""",
     "standings_by_year": _ranked(
         f"""SELECT CAST(y.year AS INTEGER) AS year, n_name AS team,
                    {", ".join(f"coalesce(sum({m}), 0) AS {m}" for m in _MEASURES)}
-            FROM nation CROSS JOIN range(1995, 2002) y(year)
+            FROM nation CROSS JOIN (SELECT DISTINCT year(match_date) AS year FROM facts) y
             LEFT JOIN ({_sides("(SELECT *, year(match_date) AS year FROM facts)", "year, ")}) s
               ON s.team = n_name AND s.year = y.year
             GROUP BY y.year, n_name""",
@@ -547,6 +567,10 @@ _BODIES = {
     "csv_round_trip": "SELECT * FROM raw_scores",
     "season_job": _ranked(_totals("job_facts")),
     "backfill_job": _history("job_facts"),
+    "export_history_csv": _history("job_facts"),
+    "csv_reordered_columns": "SELECT * FROM raw_scores",
+    "job_rejects": """SELECT *, 'away_goals' AS rejected_columns
+        FROM whole_scores WHERE away_goals = 'x' AND ingestion_time <> 'no time'""",
     "form_export": _best("form5", 3),
 }
 

@@ -34,6 +34,7 @@ from matchboard.operators.keys import (
     missing_keys,
     presence,
     reconcile,
+    semi_join,
 )
 from matchboard.operators.standings import (
     absent_teams,
@@ -45,6 +46,7 @@ from matchboard.plans import jobs
 from matchboard.quality import (
     Between,
     Differ,
+    HasSchema,
     NotNull,
     OncePer,
     OneOf,
@@ -52,13 +54,14 @@ from matchboard.quality import (
     SameIds,
     TimeBetween,
     Unique,
+    failures,
     sample_values,
     suites,
     validate,
     violations,
 )
 from matchboard.quality.suites import PeriodBounds
-from matchboard.schemas import RAW_SCORES
+from matchboard.schemas import RAW_SCORES, STANDINGS, layout
 from matchboard.sources.staging import scratch_path, stage
 from matchboard.sources.tables import export_csv, read_raw, write_table
 
@@ -146,10 +149,10 @@ def rejected_schedule(m: Matches) -> DataFrame:
 
 @query
 def cast_rounds(m: Matches) -> DataFrame:
-    direct = F.col("round").try_cast("int")
     return m.raw_schedule().agg(
         F.count("*").alias("rows"),
-        F.count(direct).alias("plain_integers"),
+        F.count(F.col("game_id").try_cast("int")).alias("plain_integers"),
+        F.count(F.col("round").try_cast("int")).alias("plain_rounds"),
         F.count(to_int("round")).alias("through_double"),
         F.sum(to_int("round")).alias("round_sum"),
     )
@@ -217,10 +220,7 @@ def duplicate_line_keys(m: Matches) -> DataFrame:
 
 @query
 def duplicate_line_rows(m: Matches) -> DataFrame:
-    rows = m.table("lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
-    )
-    return duplicate_rows(rows, ["l_orderkey", "l_linenumber"])
+    return duplicate_rows(m.table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query
@@ -281,10 +281,40 @@ def allowed_values(m: Matches) -> DataFrame:
 
 @query
 def allowed_values_sample(m: Matches) -> DataFrame:
-    known = OneOf("event_type", ["click", "view", "signup", "purchase"])
+    known = OneOf("event_type", ["click", "view"])
     return sample_values(m.table("events"), known, 5)
 
 
+@query
+def allowed_values_frame_mixed(m: Matches) -> DataFrame:
+    """The allowed values have another number type than the column."""
+    nation = m.table("nation").filter(F.col("n_regionkey") < 2)
+    known = nation.select(F.col("n_nationkey").cast("bigint").alias("key"))
+    return validate(m.table("customer"), [OneOf("c_nationkey", known)])
+
+
+@query
+def semi_join_mixed_types(m: Matches) -> DataFrame:
+    """Customers of nations of two regions, by an int against a bigint key."""
+    nation = m.table("nation").filter(F.col("n_regionkey") < 2)
+    keys = nation.select(F.col("n_nationkey").cast("bigint").alias("c_nationkey"))
+    return semi_join(m.table("customer").select("c_custkey", "c_nationkey"), keys, "c_nationkey")
+
+
+@query
+def failure_report(m: Matches) -> DataFrame:
+    """Every broken check of a suite per snapshot."""
+    checks = [Unique("game_id"), Between("home_goals", 1, 5), Differ("home_goals", "away_goals")]
+    return failures(validate(m.facts(), checks, by=["updated_at"])).drop("passed")
+
+
+@query
+def schema_mismatch(m: Matches) -> DataFrame:
+    """A table against a layout of which it lacks two columns."""
+    wanted = layout("n_nationkey int, n_name string, n_continent string, n_code int")
+    return validate(m.table("nation"), [HasSchema(wanted)])
+
+
 @query
 def allowed_teams(m: Matches) -> DataFrame:
     nation = m.table("nation")
@@ -373,16 +403,17 @@ def standings_with_absent(m: Matches) -> DataFrame:
 
 @query
 def absent_in_week(m: Matches) -> DataFrame:
+    """Teams without a win in one week."""
     week = m.facts().filter(F.col("updated_at") == at(AS_OF, TIME))
-    return absent_teams(team_results(week), m.teams())
+    return absent_teams(team_results(week).filter("wins = 1"), m.teams())
 
 
 @query
 def standings_by_year(m: Matches) -> DataFrame:
     """Every year is a competition of its own; ranks go through the sliced path."""
     facts = m.facts().withColumn("year", F.year("match_date"))
-    years = F.sequence(F.lit(1995), F.lit(2001))
-    teams = m.teams().withColumn("year", F.explode(years))
+    years = [row["year"] for row in facts.select("year").distinct().collect()]
+    teams = m.teams().withColumn("year", F.explode(F.array(*map(F.lit, years))))
     return standings(facts, teams, ["year"], slices=8)
 
 
@@ -399,13 +430,11 @@ def snapshot_lookup(m: Matches) -> DataFrame:
 @query
 def history_by_side(m: Matches) -> DataFrame:
     """Two leagues by match outcome side: finished orders and all others."""
-    status = m.table("orders").select(
-        F.col("o_orderkey").cast("string").alias("game_id"), "o_orderstatus"
-    )
-    scores = m.scores().join(status, "game_id").withColumnRenamed("o_orderstatus", "league")
+    scores = m.goals().drop("o_orderpriority").withColumnRenamed("o_orderstatus", "league")
+    scores = scores.withColumn("ingestion_date", F.to_date("ingestion_time"))
     facts = build_facts(m.schedule(), scores, extra=("updated_at", "league"))
-    leagues = F.array(F.lit("F"), F.lit("O"), F.lit("P"))
-    teams = m.teams().withColumn("league", F.explode(leagues))
+    leagues = [row["league"] for row in scores.select("league").distinct().collect()]
+    teams = m.teams().withColumn("league", F.explode(F.array(*map(F.lit, leagues))))
     return standings_history(facts, teams, SEASON.start + WEEK, SEASON.end, ["league"])
 
 
@@ -468,6 +497,15 @@ def csv_round_trip(m: Matches) -> DataFrame:
     return read_raw(m.spark, path, RAW_SCORES)
 
 
+@query
+def csv_reordered_columns(m: Matches) -> DataFrame:
+    """A file with its columns in another order, and one more."""
+    path = scratch_path(m.spark, "csv")
+    raw = m.raw_scores()
+    export_csv(raw.select("ingestion_time", F.lit("x").alias("note"), "away_goals", "game_id", "home_goals"), path)
+    return read_raw(m.spark, path, RAW_SCORES)
+
+
 @query
 def season_job(m: Matches) -> DataFrame:
     cfg = _config(m, _write_source(m))
@@ -482,6 +520,24 @@ def backfill_job(m: Matches) -> DataFrame:
     return jobs.read_history(m.spark, cfg)
 
 
+@query
+def export_history_csv(m: Matches) -> DataFrame:
+    """The exported history of a backfill, read back."""
+    cfg = _config(m, _write_source(m))
+    jobs.run_backfill(m.spark, cfg, SEASON.weeks)
+    schema = layout(STANDINGS, TIME, "updated_at {time}")
+    return m.spark.read.schema(schema).option("header", True).csv(f"{cfg.output}/{jobs.HISTORY_CSV}")
+
+
+@query
+def job_rejects(m: Matches) -> DataFrame:
+    """The stored rejected scores of a season run."""
+    cfg = _config(m, _write_source(m))
+    reports = jobs.run_season(m.spark, cfg)
+    rejected = m.spark.read.parquet(reports[0].rejected["raw_scores"])
+    return _rejected(rejected).drop("updated_at")
+
+
 @query
 def form_export(m: Matches) -> DataFrame:
     base = scratch_path(m.spark, "tables")

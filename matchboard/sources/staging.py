@@ -7,11 +7,15 @@ executors, as its lineage starts at the files.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_run: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,8 +30,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for what is staged inside, removed at the end, also after a failure."""
+    path = scratch_path(spark, "run")
+    token = _run.set(path)
+    try:
+        yield path
+    finally:
+        _run.reset(token)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/matchboard/{name}-{uuid4().hex}"
+    base = _run.get() or f"{shared_folder(spark)}/matchboard"
+    return f"{base}/{name}-{uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

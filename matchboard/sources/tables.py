@@ -7,10 +7,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from matchboard.functions.casts import at, time_type
-from matchboard.schemas import layout
+from matchboard.schemas import column_names
 
 FORMAT = "parquet"
 SNAPSHOT = "updated_at"
@@ -20,16 +20,19 @@ CORRUPT = "_corrupt_record"
 def read_raw(
     spark: SparkSession, path: str, columns: str, keep_corrupt: bool = False
 ) -> DataFrame:
-    """Headered CSV, every column text, without an inference pass.
+    """Headered CSV, every column text, matched by name without an inference pass.
 
+    The header gives the columns and their order; those of ``columns`` that it has are
+    returned, others are left out. Files of one folder share a header.
     ``keep_corrupt`` adds the source line of rows with the wrong number of fields.
     """
-    extra = f"{CORRUPT} string" if keep_corrupt else ""
-    reader = spark.read.schema(layout(columns, extra=extra)).option("header", True)
-    if keep_corrupt:
-        # A pruned read does not look at the fields it skips.
-        reader = reader.option("columnPruning", False)
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    header = spark.read.option("header", True).csv(path).columns
+    schema = StructType([StructField(name, StringType()) for name in [*header, CORRUPT]])
+    # A pruned read does not look at the fields it skips.
+    reader = spark.read.schema(schema).option("header", True).option("columnPruning", False)
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    present = [name for name in column_names(columns) if name in header]
+    return rows.select(*present, *([CORRUPT] if keep_corrupt else []))
 
 
 def read_table(

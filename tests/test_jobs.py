@@ -3,6 +3,8 @@
 from dataclasses import replace
 from datetime import timedelta
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,11 +143,12 @@ def test_strict_checks_write_nothing(spark, tmp_path, bad, layer):
     source = write_source(tmp_path / "source", season_matches(), extra_scores=[bad])
     teams = named_teams(spark, TEAMS)
     strict = jobs.Config(source, str(tmp_path / "tables"), str(tmp_path / "output"), teams)
-    with pytest.raises(ValidationError):
+    with pytest.raises(ValidationError) as error:
         jobs.run_season(spark, strict)
-    with pytest.raises(ValidationError):
-        jobs.run_backfill(spark, strict, weeks=4)
-    assert not (tmp_path / "tables").exists()
+    assert error.value.failed
+    assert [p.name for p in (tmp_path / "tables").iterdir()] == ["quality"]
+    stored = spark.read.parquet(strict.table(jobs.QUALITY.format(layer), False))
+    assert stored.filter("not passed").count() == len(error.value.failed)
 
 
 def test_unlisted_team_is_refused(spark, config):
@@ -165,6 +168,88 @@ def test_unreadable_values_are_kept_apart(spark, tmp_path):
     teams = named_teams(spark, TEAMS)
     cfg = jobs.Config(source, str(tmp_path / "tables"), str(tmp_path / "output"), teams)
     report = jobs.run_season(spark, cfg)[0]
-    assert [r["game_id"] for r in report.rejected["scores"].collect()] == ["g7"]
-    assert report.rejected["schedule"].isEmpty()
+    rejected = spark.read.parquet(report.rejected["raw_scores"])
+    assert [(r["game_id"], r["rejected_columns"]) for r in rejected.collect()] == [("g7", ["home_goals"])]
+    assert spark.read.parquet(report.rejected["raw_schedule"]).isEmpty()
     assert table(jobs.read_standings(spark, cfg)) == EXPECTED
+
+
+BAD_WEEK = "g1,3,3,2025-08-20 11:00:00"  # the same id with another score
+
+
+def test_backfill_leaves_out_what_weekly_runs_leave_out(spark, tmp_path):
+    source = write_source(tmp_path / "source", season_matches(), extra_scores=[BAD_WEEK])
+    teams = named_teams(spark, TEAMS)
+    weekly, at_once = (
+        jobs.Config(source, str(tmp_path / name), str(tmp_path / f"{name}-out"), teams)
+        for name in ("weekly", "backfill")
+    )
+    failed = []
+    for week in range(2):
+        try:
+            jobs.run_week(spark, weekly, week)
+        except ValidationError:
+            failed.append(week)
+    assert failed == [0]
+    with pytest.raises(ValidationError) as error:
+        jobs.run_backfill(spark, at_once, weeks=2)
+    assert "unique game_id" in str(error.value)
+    one, other = jobs.read_history(spark, weekly), jobs.read_history(spark, at_once)
+    assert one.count() == other.count() == 4 and one.exceptAll(other).isEmpty()
+    facts = [spark.read.parquet(c.table(jobs.SILVER_FACTS, True)) for c in (weekly, at_once)]
+    assert facts[0].select(*facts[1].columns).exceptAll(facts[1]).isEmpty()
+
+
+def test_old_week_again_refreshes_later_snapshots(spark, config, tmp_path):
+    for week in range(2):
+        jobs.run_week(spark, config, week)
+    changed = [(*m[:5], m[5] + 7, m[6]) if m[0] == "g1" else m for m in season_matches()]
+    again = replace(config, source=write_source(tmp_path / "again", changed))
+    jobs.run_week(spark, again, 0)
+    fresh = replace(again, base=str(tmp_path / "fresh"))
+    jobs.run_backfill(spark, fresh, weeks=2)
+    ours, wanted = jobs.read_history(spark, config), jobs.read_history(spark, fresh)
+    assert ours.count() == wanted.count() == 8 and ours.exceptAll(wanted).isEmpty()
+
+
+def test_nothing_staged_is_left(spark, config, tmp_path):
+    scratch = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "matchboard"
+    before = set(scratch.glob("*")) if scratch.exists() else set()
+    jobs.run_season(spark, config)
+    broken = write_source(tmp_path / "broken", season_matches(), extra_scores=[BAD_WEEK])
+    with pytest.raises(ValidationError):
+        jobs.run_season(spark, replace(config, source=broken))
+    assert set(scratch.glob("*")) == before
+
+
+def test_malformed_lines_are_rejected(spark, tmp_path):
+    source = write_source(tmp_path / "source", season_matches(), extra_scores=["g1,9,9,2025-08-20 11:00:00,7,8", "g2,1"])
+    cfg = jobs.Config(source, str(tmp_path / "tables"), str(tmp_path / "output"), named_teams(spark, TEAMS))
+    report = jobs.run_season(spark, cfg)[0]
+    rejected = spark.read.parquet(report.rejected["raw_scores"]).collect()
+    assert sorted((r["game_id"], *r["rejected_columns"]) for r in rejected) == [
+        ("g1", jobs.MALFORMED), ("g2", jobs.MALFORMED),
+    ]
+    assert table(jobs.read_standings(spark, cfg)) == EXPECTED
+
+
+def test_missing_column_is_a_broken_check(spark, tmp_path):
+    source = write_source(tmp_path / "source", season_matches())
+    path = pathlib.Path(source) / jobs.SCORES_FILE
+    lines = path.read_text().splitlines()
+    path.write_text("\n".join(",".join(line.split(",")[:1] + line.split(",")[2:]) for line in lines))
+    cfg = jobs.Config(source, str(tmp_path / "tables"), str(tmp_path / "output"), named_teams(spark, TEAMS))
+    with pytest.raises(ValidationError) as error:
+        jobs.run_season(spark, cfg)
+    assert "home_goals is missing" in str(error.value)
+
+
+def test_exported_history_keeps_wall_clock_times(spark, config):
+    ntz = replace(config, time="timestamp_ntz")
+    jobs.run_backfill(spark, ntz, weeks=4)
+    jobs.export_table(spark, ntz, f"{jobs.GOLD_STANDINGS}{jobs.HISTORY}", "table.csv")
+    by_table, by_job = (
+        spark.read.option("header", True).csv(f"{ntz.output}/{name}") for name in ("table.csv", jobs.HISTORY_CSV)
+    )
+    assert by_table.count() == 16
+    assert by_table.select(*by_job.columns).exceptAll(by_job).isEmpty()
