@@ -149,13 +149,13 @@ def _pairs(rows: list[dict], how: Similarity) -> tuple[np.ndarray, list[np.ndarr
     """Pairs of one unit of work that may be linked, as a matrix, and the sets or sketches."""
     n = np.array([r["n"] for r in rows], dtype=np.int64)
     block = np.array([r["block"] for r in rows])
-    sets = [np.asarray(r["values"], dtype=np.int64) for r in rows]
+    sets = [r["values"] for r in rows]
     may = 100 * np.minimum(n[:, None], n[None, :]) >= how.percent * np.maximum(n[:, None], n[None, :])
     if rows[0]["low"] != rows[0]["high"]:
         may &= block[:, None] != block[None, :]
     may &= np.tri(len(rows), k=-1, dtype=bool)
     if may.any():
-        rarer = [np.asarray(r["rarer"], dtype=np.int64) for r in rows]
+        rarer = [r["rarer"] for r in rows]
         if sum(map(len, rarer)):
             may &= _joint_counts(rarer) == 0
     if may.any():
@@ -167,11 +167,18 @@ UNIT = ["value", "low", "high"]
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """Consecutive rows of one unit of work."""
+    """Consecutive rows of one unit of work; hashes stay numpy views of the batch."""
     held: list[dict] = []
     at: tuple | None = None
     for batch in batches:
-        for row in batch.to_pylist():
+        plain = [c for c in batch.schema.names if c not in ("rarer", "values")]
+        columns = {c: batch.column(c).to_pylist() for c in plain}
+        for c in ("rarer", "values"):
+            found = batch.column(c)
+            flat, cuts = found.values.to_numpy(), found.offsets.to_numpy()
+            columns[c] = [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        for values in zip(*columns.values(), strict=True):
+            row = dict(zip(columns, values, strict=True))
             key = (row["value"], row["low"], row["high"])
             if key != at:
                 if len(held) > 1:
@@ -257,18 +264,17 @@ def _full_sets(how: Similarity):
                 data = np.frombuffer(raw, dtype=np.uint8)
                 hashes, _ = shingle_sets(data, np.array([0, len(data)]), how.shingle)
                 units = batch.column("units")[k].as_py()
-                rows = [
-                    {**u, "doc_id": batch.column("doc_id")[k].as_py(), "n": len(hashes), "values": hashes}
-                    for u in units
-                    if u["n"] == len(hashes)
-                ]
-                if rows:
-                    yield pa.RecordBatch.from_pylist([{c: r[c] for c in names} for r in rows], schema=arrow)
-
-    many = pa.list_(pa.int64())
-    arrow = pa.schema(
-        zip(names, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), many, many), strict=True)
-    )
+                own = pa.array(hashes)
+                doc_id = batch.column("doc_id")[k].as_py()
+                for u in units:
+                    if u["n"] != len(hashes):
+                        continue  # another text of the same doc_id
+                    row = {**u, "doc_id": doc_id, "n": len(hashes)}
+                    columns = [pa.array([row[c]], t) for c, t in zip(names[:-1], types, strict=True)]
+                    columns.append(pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
     return run
 
 

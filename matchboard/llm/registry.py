@@ -25,7 +25,11 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application."""
+    """Send this package to the executors, once per application, and keep Arrow batches small.
+
+    Tasks run side by side in an executor, and texts are expanded inside them.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -40,7 +40,7 @@ from matchboard.llm import kernel
 from matchboard.sources.staging import stage
 
 HOT = 2000  # different contents of one minimizer that one task resolves together
-GROUP_BYTES = 1 << 20  # content that a task resolves at once, whole minimizers
+GROUP_BYTES = 1 << 19  # content that a task resolves at once, whole minimizers
 
 NO_ID = (1 << 63) - 1  # stands for a null doc_id, after all others
 
@@ -139,6 +139,9 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return keyed(docs).mapInArrow(_squeeze, "doc_id bigint, text_hash int, packed binary")
 
 
+PART = 250  # rows whose texts a task holds at once when it packs or unpacks them
+
+
 def pack_text(docs: DataFrame) -> DataFrame:
     """``docs`` with the column ``text`` compressed to binary, for a shuffle of whole rows."""
     at, names = docs.columns.index("text"), docs.columns
@@ -146,10 +149,12 @@ def pack_text(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            columns = list(batch.columns)
-            packed = [None if t is None else squeeze(t.encode()) for t in columns[at].to_pylist()]
-            columns[at] = pa.array(packed, pa.binary())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            for first in range(0, batch.num_rows, PART):
+                part = batch.slice(first, PART)
+                columns = list(part.columns)
+                packed = [None if t is None else squeeze(t.encode()) for t in columns[at].to_pylist()]
+                columns[at] = pa.array(packed, pa.binary())
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [StructField("text", BinaryType()) if f.name == "text" else f for f in docs.schema]
     return docs.mapInArrow(run, StructType(fields))
@@ -162,15 +167,17 @@ def unpack_text(rows: DataFrame, edit: Callable[[bytes, pa.RecordBatch, int], by
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            texts: list[str | None] = []
-            for k, packed in enumerate(batch.column(at).to_pylist()):
-                raw = None if packed is None else expand(packed)
-                if raw and edit:
-                    raw = edit(raw, batch, k)
-                texts.append(None if raw is None else raw.decode(errors="ignore"))
-            columns = list(batch.columns)
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            for first in range(0, batch.num_rows, PART):
+                part = batch.slice(first, PART)
+                texts: list[str | None] = []
+                for k, packed in enumerate(part.column(at).to_pylist()):
+                    raw = None if packed is None else expand(packed)
+                    if raw and edit:
+                        raw = edit(raw, part, k)
+                    texts.append(None if raw is None else raw.decode(errors="ignore"))
+                columns = list(part.columns)
+                columns[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [StructField("text", StringType()) if f.name == "text" else f for f in rows.schema]
     return rows.mapInArrow(run, StructType(fields))
