@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchboard.sources.staging import stage
+
 WIDTH = 13
 BROADCAST_WINDOWS = 500_000
 
@@ -87,7 +89,8 @@ def _hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash, hit (1-based positions)."""
     items = item_windows(benchmark, width)
-    hits = _hits(docs, items)
+    # the windows of all documents are made once; hits alone are written
+    hits = stage(_hits(docs, items), "hits")
     key = ["doc_id", "text_hash"]
     # a window has a bounded number of words, and a document's positions are its own row
     places = hits.groupBy(key).agg(F.collect_set(F.struct("at", "width")).alias("at"))
