@@ -19,7 +19,9 @@ other columns are ignored; an empty table writes an empty file set.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -34,6 +36,15 @@ from matchboard.sources.staging import scratch_path
 
 BLOCK_IDS = 1 << 16
 END = 0
+LIMIT_CHUNKS = 300_000
+LIMIT_MARKS = 10_000
+# perhaps a space, Latin letters (the same in every Unicode version), and ASCII marks
+_WORD = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\[-`{-~]*)").fullmatch
+
+# how byte-level vocabularies write bytes: printable ones as themselves, the others from U+0100 on
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_OTHERS = iter(range(256, 512))
+_LETTERS = [chr(b if b in _PRINTABLE else next(_OTHERS)) for b in range(256)]
 
 FILE_SCHEMA = (
     "run int, block int, first_id bigint, width int, n_ids bigint, doc_ids array<bigint>, starts array<bigint>, packed binary"
@@ -82,11 +93,41 @@ def _tokenizer(path: str) -> tuple[Memory, int]:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
 
-        def encode(new: list[str]) -> list[bytes]:
-            found = tokenizer.encode_batch(new, add_special_tokens=False)
-            return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+        word_ids = tokenizer.model.tokenize
+        words: dict[str, bytes] = {}
+        marks: dict[str, bytes] = {"": b""}
 
-        _loaded[path] = Memory(encode), tokenizer.get_vocab_size(with_added_tokens=True)
+        def whole(texts: list[str]) -> list[bytes]:
+            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [array("I", e.ids).tobytes() for e in found]
+
+        def encode(new: list[str]) -> list[bytes]:
+            """A word of letters and the marks after it are encoded apart, as the pattern cuts
+            between them; all other chunks go through the library as they are."""
+            out: list[bytes | None] = []
+            rest = []
+            words.clear()
+            if len(marks) > LIMIT_MARKS:
+                marks.clear()
+                marks[""] = b""
+            for chunk in new:
+                cut = _WORD(chunk)
+                if cut is None:
+                    out.append(None)
+                    rest.append(chunk)
+                    continue
+                word, tail = cut.groups()
+                ids = words.get(word)
+                if ids is None:
+                    letters = word.replace(" ", "Ġ") if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
+                    ids = words[word] = array("I", [t.id for t in word_ids(letters)]).tobytes()
+                if tail not in marks:
+                    (marks[tail],) = whole([tail])
+                out.append(ids + marks[tail])
+            found = iter(whole(rest))
+            return [next(found) if ids is None else ids for ids in out]
+
+        _loaded[path] = Memory(encode, LIMIT_CHUNKS), tokenizer.get_vocab_size(with_added_tokens=True)
     return _loaded[path]
 
 

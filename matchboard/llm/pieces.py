@@ -2,8 +2,12 @@
 
 The GPT-style pattern never matches across a step from a non-space character to a space,
 so a text cut at these steps is a sequence of chunks whose tokens do not depend on each
-other. A run of white space is never cut, as it is matched by looking ahead. What a chunk encodes to is remembered per worker, up to
-``LIMIT`` chunks; then the memory starts anew, so it stays bounded.
+other. A single line break between non-space characters is a match of its own. A run of
+white space is never cut, as it is matched by looking ahead.
+
+What a chunk encodes to is remembered per worker, up to ``LIMIT`` chunks; then they
+become the older half of the memory, from which chunks that are met again are taken
+over, and the half before it is dropped. So it stays bounded.
 """
 
 from __future__ import annotations
@@ -11,50 +15,65 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-LIMIT = 300_000
+LIMIT = 150_000
 LONG = 64  # longer chunks are encoded each time
 
-_RUN = re.compile(r"\s ").search
+_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
+# white space in runs, around a space or a line break
+_RUNS = [c + " " for c in _SPACES] + [c + "\n" for c in _SPACES] + ["\n" + c for c in _SPACES]
+_ASCII_RUNS = [run for run in _RUNS if run.isascii()]
+_OTHERS = [c for c in _SPACES if c not in " \n"]
+_ASCII_OTHERS = [c for c in _OTHERS if c.isascii()]
 _STEP = re.compile(r"(?<=\S)(?= )")
 
 
 def chunks(text: str) -> list[str]:
     if not text:
         return []
-    if _RUN(text):
+    # no other white space, and as many words as single spaces and line breaks part: no runs
+    rare = any(c in text for c in (_ASCII_OTHERS if text.isascii() else _OTHERS))
+    single = not rare and len(text.split()) == text.count(" ") + text.count("\n") + 1
+    if not single and any(run in text for run in (_ASCII_RUNS if text.isascii() else _RUNS)):
         return _STEP.split(text)
-    parts = text.split(" ")
-    head = parts[0]
-    out = [" " + part for part in parts]
-    if head:
-        out[0] = head
-    else:
-        del out[0]
+    out: list[str] = []
+    for line in text.split("\n"):
+        parts = line.split(" ")
+        if parts[0]:
+            out.append(parts[0])
+        out += [" " + part for part in parts[1:]]
+        out.append("\n")
+    out.pop()
     return out
 
 
 class Memory[T]:
     """Remembers ``encode`` of chunks; new chunks of many texts are encoded together."""
 
-    def __init__(self, encode: Callable[[list], Iterable[T]]):
+    def __init__(self, encode: Callable[[list], Iterable[T]], limit: int | None = None):
         self.encode = encode
+        self.limit = limit or LIMIT
         self.known: dict[str | bytes, T] = {}
+        self.older: dict[str | bytes, T] = {}
 
     def look_up(self, texts: list[list]) -> dict[str | bytes, T]:
         """A mapping that holds every chunk of the texts."""
-        known = self.known
-        if len(known) > LIMIT:
-            known.clear()
+        if len(self.known) > self.limit:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         new: set[str | bytes] = set()
         for parts in texts:
             new.update(parts)
         new -= known.keys()
         if not new:
             return known
-        fresh = sorted(new)  # a fixed order, for equal work on a second attempt
+        again = new & older.keys()
+        for chunk in again:
+            known[chunk] = older[chunk]
+        fresh = list(new - again)
         found = dict(zip(fresh, self.encode(fresh), strict=True))
-        short = {k: v for k, v in found.items() if len(k) <= LONG}
-        known.update(short)
-        if len(short) == len(found):
+        long = {k for k in fresh if len(k) > LONG}
+        if not long:
+            known.update(found)
             return known
-        return {**found, **{c: known[c] for parts in texts for c in parts if c not in found}}
+        known.update({k: v for k, v in found.items() if k not in long})
+        return {c: found[c] if c in long else known[c] for parts in texts for c in parts}
