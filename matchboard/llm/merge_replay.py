@@ -21,6 +21,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -30,6 +31,7 @@ from matchboard.llm.pieces import Memory, chunks
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 WORDS_AT_ONCE = 50_000
+PAIR = 24  # bits of an id
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -45,12 +47,17 @@ class MergeReplay:
         self.byte = [ranks.get(bytes([b])) for b in range(256)]
         if None in self.byte:
             raise ValueError("the vocabulary lacks single bytes")
-        self.joined: dict[tuple[int, int], int] = {}
+        self.joined: dict[int, int] = {}  # left << PAIR | right, to the rank of both together
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.joined[left, right] = rank
+                    self.joined[left << PAIR | right] = rank
+        keys = np.fromiter(self.joined, dtype=np.int64, count=len(self.joined))
+        order = np.argsort(keys)
+        self.pairs = keys[order]
+        self.pair_ranks = np.fromiter(self.joined.values(), dtype=np.int64, count=len(keys))[order]
+        self.byte_ids = np.array(self.byte, dtype=np.int64)
 
     def encode(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Token ids of each word."""
@@ -71,22 +78,28 @@ class MergeReplay:
         return out  # type: ignore[return-value]
 
     def _replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        symbol: list[int] = []  # -1 between words and where a symbol was joined away
-        starts = []
-        byte = self.byte
-        for word in words:
-            starts.append(len(symbol))
-            symbol.extend([byte[b] for b in word])
-            symbol.append(-1)
-        n = len(symbol)
+        lengths = np.array([len(word) for word in words], dtype=np.int64)
+        begin = np.cumsum(lengths + 1) - lengths - 1
+        n = int(lengths.sum()) + len(words)
+        ids = np.full(n, -1, dtype=np.int64)  # -1 between words and where a symbol was joined away
+        data = np.frombuffer(b"".join(words), dtype=np.uint8)
+        ids[np.arange(len(data)) + np.repeat(np.arange(len(words)), lengths)] = self.byte_ids[data]
+        # the inverted index: rank of a pair to the positions of its left symbol, in order
+        at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+        keys = ids[at] << PAIR | ids[at + 1]
+        place = np.minimum(np.searchsorted(self.pairs, keys), max(len(self.pairs) - 1, 0))
+        known = self.pairs[place] == keys if len(self.pairs) else np.zeros(len(at), dtype=bool)
+        at, ranks = at[known], self.pair_ranks[place[known]] if len(self.pairs) else at[known]
+        order = np.argsort(ranks, kind="stable")
+        at, ranks = at[order], ranks[order]
+        cuts = np.flatnonzero(np.diff(ranks, prepend=-1, append=-1))
+        positions = at.tolist()
+        index = {int(ranks[a]): positions[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)}
+        starts = begin.tolist()
+        symbol = ids.tolist()
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
         joined = self.joined.get
-        index: dict[int, list[int]] = {}
-        for at in range(n - 1):
-            rank = joined((symbol[at], symbol[at + 1]))
-            if rank is not None:
-                index.setdefault(rank, []).append(at)
         queue = list(index)
         heapq.heapify(queue)
         while queue:
@@ -97,7 +110,7 @@ class MergeReplay:
             places.sort()
             for at in places:
                 right = after[at]
-                if symbol[at] < 0 or right >= n or joined((symbol[at], symbol[right])) != rank:
+                if symbol[at] < 0 or right >= n or joined(symbol[at] << PAIR | symbol[right]) != rank:
                     continue  # a neighbour was joined meanwhile
                 symbol[at], symbol[right] = rank, -1
                 beyond = after[right]
@@ -106,7 +119,7 @@ class MergeReplay:
                 for left, other in ((before[at], at), (at, beyond)):
                     if left < 0 or symbol[left] < 0 or symbol[other] < 0:
                         continue
-                    new = joined((symbol[left], symbol[other]))
+                    new = joined(symbol[left] << PAIR | symbol[other])
                     if new is not None:
                         found = index.get(new)
                         if found is None:
@@ -130,11 +143,11 @@ def _encoder(path: str, pattern: str) -> tuple[MergeReplay, Memory]:
     if (path, pattern) not in _loaded:
         replay = MergeReplay(read_ranks(path))
         split = regex.compile(pattern).findall
-        words = Memory(lambda new: replay.encode([word.encode() for word in new]))
 
         def encode(new: list[str]) -> list[tuple[tuple[int, ...], str]]:
             matches = [split(chunk) for chunk in new]
-            ids = words.look_up(matches)
+            distinct = list({match for found in matches for match in found})
+            ids = dict(zip(distinct, replay.encode([match.encode() for match in distinct]), strict=True))
             coded = [tuple([i for m in found for i in ids[m]]) for found in matches]
             return [(c, " ".join(map(str, c))) for c in coded]
 
