@@ -14,7 +14,8 @@ writes will do, and lost tasks are written again by Spark's commit.
 
 Defined results: a null or empty text is only the end id; documents with a null doc_id
 come first; equal doc_ids are ordered by a hash of the text, then arbitrarily but once;
-other columns are ignored; an empty table writes an empty file set.
+the written name of an added token in a text becomes that token, as in the tokenizer's
+library; other columns are ignored; an empty table writes an empty file set.
 """
 
 from __future__ import annotations
@@ -79,11 +80,11 @@ def unpack(packed: bytes, width: int, start: int, count: int) -> np.ndarray:
     return (bits.reshape(count, width).astype(np.uint32) * weights).sum(axis=1, dtype=np.uint32)
 
 
-_loaded: dict[str, tuple[Memory, int]] = {}
+_loaded: dict[str, tuple[Memory, int, re.Pattern | None]] = {}
 
 
-def _tokenizer(path: str) -> tuple[Memory, int]:
-    """The tokenizer's memory of chunks as little-endian 32-bit ids, and its vocabulary size."""
+def _tokenizer(path: str) -> tuple[Memory, int, re.Pattern | None]:
+    """Memory of chunks as little-endian 32-bit ids, vocabulary size, pattern of added tokens."""
     if path not in _loaded:
         import os
 
@@ -91,7 +92,12 @@ def _tokenizer(path: str) -> tuple[Memory, int]:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        added = tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added):
+            raise ValueError("added tokens that depend on their neighbours are not supported")
+        names = sorted((t.content for t in added), key=len, reverse=True)
+        # one group, so that a split keeps the names
+        special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
         word_ids = tokenizer.model.tokenize
         words: dict[str, bytes] = {}
@@ -127,13 +133,24 @@ def _tokenizer(path: str) -> tuple[Memory, int]:
             found = iter(whole(rest))
             return [next(found) if ids is None else ids for ids in out]
 
-        _loaded[path] = Memory(encode, LIMIT_CHUNKS), tokenizer.get_vocab_size(with_added_tokens=True)
+        _loaded[path] = Memory(encode, LIMIT_CHUNKS), tokenizer.get_vocab_size(with_added_tokens=True), special
     return _loaded[path]
 
 
+def _chunks(text: str, special: re.Pattern | None) -> list[str]:
+    """Chunks of a text, each added token being one; the text beside it is cut on its own."""
+    if special is None or special.search(text) is None:
+        return chunks(text)
+    out: list[str] = []
+    for k, part in enumerate(special.split(text)):
+        out += [part] if k % 2 else chunks(part)
+    return out
+
+
 def _encode(texts: list[str], path: str) -> list[bytes]:
-    parts = [chunks(t) for t in texts]
-    known = _tokenizer(path)[0].look_up(parts)
+    memory, _, special = _tokenizer(path)
+    parts = [_chunks(t, special) for t in texts]
+    known = memory.look_up(parts)
     return [b"".join([known[c] for c in p]) for p in parts]
 
 

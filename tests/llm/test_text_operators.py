@@ -135,7 +135,6 @@ def test_width():
 
 def _library_ids(texts):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -182,6 +181,14 @@ def test_chunks_encode_like_the_text():
     assert found == _library_ids(texts)
 
 
+def test_added_tokens_encode_like_the_library():
+    name = "<|endoftext|>"
+    texts = [name.join(part) for part in zip(_strings(200), _strings(300)[100:], strict=False)]
+    texts += [name, name * 3, f" {name} ", f"a{name}b", f"a  {name}\n\n{name[:-1]}", name[1:]]
+    found = [np.frombuffer(raw, "<u4").tolist() for raw in packed_tokens._encode(texts, JSON)]
+    assert found == _library_ids(texts)
+
+
 def test_memory_stays_bounded(monkeypatch):
     monkeypatch.setattr(pieces, "LIMIT", 3)
     memory = pieces.Memory(lambda new: [c.upper() for c in new])
