@@ -6,9 +6,10 @@
    linked pair shares ``least_shared`` retained values (all but certainly, see below), so
    ordered from rare to frequent, the first ``k - least_shared + 1`` values of both sets have
    one in common. Only these enter a list, which keeps frequent shingles out of it.
-3. Inside a list, pairs are filtered by length and by the similarity estimated on the
-   union of both sketches, and each pair is looked at in the list of its rarest common
-   value only. A list emits the sets that still have a partner, never pairs.
+3. Inside a list, pairs are filtered by length and by the same ``least_shared`` retained
+   values (by exact similarity if both sets are wholly retained), and each pair is looked
+   at in the list of its rarest common value only. A list emits the sets that still have a
+   partner, never pairs.
 4. Full sets of these are fetched and verified exactly in the same lists, and a list emits
    a spanning forest of the verified links: one link a set at most.
 5. Links are contracted to components.
@@ -16,9 +17,10 @@
 Lists longer than ``BLOCK`` are dealt into blocks, and every two blocks are one unit of work,
 so no task holds an unbounded list and no pair is left out.
 
-With similarity s >= 0.85 the number of shared retained values of two large sets is about
-binomial (k, s); fewer than 28 of 48 has a probability below 1e-5 at s = 0.85 and falls
-steeply above. Sets of up to ``small`` shingles use the exact bound instead.
+With similarity s >= 0.85 the number of shared retained values of two large sets is at
+least about binomial (k, s); fewer than 28 of 48 has a probability of 1.8e-6 at s = 0.85 and
+falls steeply above. Steps 2 and 3 miss a pair by this one event only, so that is their
+joint loss. Sets of up to ``small`` shingles use the exact bound instead.
 
 Defined results: words are lower-cased (A-Z) ``[^\\x20\\x09-\\x0D]+``; null or empty texts have
 an empty set and are linked with nothing; rows that share a doc_id are linked; a null
@@ -52,7 +54,6 @@ class Similarity:
     k: int = 48
     least_shared: int = 28  # of k, for larger sets
     small: int = 40  # sets up to this size, and all partners of theirs, are wholly in their sketch
-    slack: float = 0.22  # below the threshold that an estimate may lie, over four standard deviations
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,17 +133,12 @@ def _joint_counts(sets: list[np.ndarray]) -> np.ndarray:
     return joint.astype(np.int64)
 
 
-def _estimated(sketches: list[np.ndarray], n: np.ndarray, k: int) -> np.ndarray:
-    """Similarity of all pairs on the union of both sketches up to the lesser of their ends."""
+def _alike(sketches: list[np.ndarray], n: np.ndarray, how: Similarity) -> np.ndarray:
+    """Pairs that share as many retained values as linked sets do; whole sets are compared exactly."""
     joint = _joint_counts(sketches)
-    whole = np.iinfo(np.int64).max
-    end = np.array([whole if size <= k else int(s[-1]) for s, size in zip(sketches, n, strict=True)])
-    # seen[x, y]: values of x up to the end of y
-    seen = np.stack([np.searchsorted(s, end, side="right") for s in sketches])
-    own = np.array([len(s) for s in sketches])
-    until = end[:, None] <= end[None, :]
-    union = np.where(until, own[:, None] + seen.T, own[None, :] + seen) - joint
-    return joint / np.maximum(union, 1)
+    whole = n <= how.k
+    exact = 100 * joint >= how.percent * (n[:, None] + n[None, :] - joint)
+    return np.where(whole[:, None] & whole[None, :], exact, joint >= how.least_shared)
 
 
 def _pairs(rows: list[dict], how: Similarity) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -159,7 +155,7 @@ def _pairs(rows: list[dict], how: Similarity) -> tuple[np.ndarray, list[np.ndarr
         if sum(map(len, rarer)):
             may &= _joint_counts(rarer) == 0
     if may.any():
-        may &= _estimated([s[: how.k] for s in sets], n, how.k) >= how.percent / 100 - how.slack
+        may &= _alike([s[: how.k] for s in sets], n, how)
     return may, sets
 
 

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from matchboard.llm import near_dedup, shared_windows, substring_dedup, suffix_dedup
@@ -127,6 +128,35 @@ def test_near(docs, corpus, rows):
     assert rows(near_dedup.near_duplicates(docs)) == expected
 
 
+def _few_retained(width, edits, retained):
+    """Two texts of 1000 words, one with ``edits`` other words, ``retained`` of them in the least hashes."""
+    words = [f"w{k}" for k in range(1000)]
+    grams = [" ".join(words[k : k + width]).encode() for k in range(1000 - width + 1)]
+    order = sorted(range(len(grams)), key=lambda k: near_dedup.shingle_sets(*_bytes(grams[k]), width)[0][0])
+    chosen = []
+    for k in [*order[:48], *order[100:]]:
+        if all(abs(k - c) >= width for c in chosen) and width <= k < 1000 - width:
+            if len(chosen) < retained or order.index(k) >= 100:
+                chosen.append(k)
+    other = list(words)
+    for k in chosen[:edits]:
+        other[k] = f"x{k}"
+    return " ".join(words), " ".join(other)
+
+
+def _bytes(raw):
+    return np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)])
+
+
+def test_near_with_few_shared_retained_values(spark, rows):
+    pair = list(enumerate(_few_retained(3, 26, 13)))
+    expected = _near(pair)
+    assert [kept for *_, kept in expected] == [True, False]
+    left, right = (set(near_dedup.shingle_sets(*_bytes(t.encode()), 3)[0][:48].tolist()) for _, t in pair)
+    assert 28 <= len(left & right) <= 30
+    assert rows(near_dedup.near_duplicates(spark.createDataFrame(pair, "doc_id bigint, text string"))) == expected
+
+
 def test_near_in_small_blocks(docs, corpus, rows, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 2)
     assert rows(near_dedup.near_duplicates(docs)) == _near(corpus)
