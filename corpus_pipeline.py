@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matchboard.llm.decontamination import decontaminate
 from matchboard.llm.merge_replay import bpe_digests
-from matchboard.llm.near_dedup import drop_near_duplicates
+from matchboard.llm.near_dedup import FIVE_WORDS, Similarity, drop_near_duplicates
 from matchboard.llm.quality_rules import good_documents
 from matchboard.llm.registry import ship, table
 from matchboard.llm.suffix_dedup import remove_repeats
@@ -28,9 +28,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group linked by five-word shingles at 0.80 or by the rule of operator 5."""
     ship(spark)
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, Similarity(), FIVE_WORDS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

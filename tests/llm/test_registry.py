@@ -1,5 +1,7 @@
 """Registered queries and the pipeline on the smallest tables."""
 
+import random
+
 import pytest
 from oracle_compare import connect, difference
 
@@ -46,3 +48,31 @@ def test_stages(spark):
     coded = tokens(spark, clean, FOLDER)
     assert ids(coded) == ids(clean) and 0 < len(ids(clean)) < docs.count()
     assert ids(corpus_pipeline.run(spark, FOLDER)) == ids(clean)
+
+
+def _components(texts, rules):
+    """Ids that stay when any rule (words, percent) links two texts, by brute force."""
+    least = list(range(len(texts)))
+    for width, percent in rules:
+        words = [t.lower().split() for t in texts]
+        sets = [{tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} for w in words]
+        for a, s in enumerate(sets):
+            for b, u in enumerate(sets[:a]):
+                if 100 * len(s & u) >= percent * len(s | u) and least[a] != least[b]:
+                    low, high = sorted((least[a], least[b]))
+                    least = [low if x == high else x for x in least]
+    return [k for k, x in enumerate(least) if k == x]
+
+
+def test_near_stage_links_five_words(spark):
+    """The stage keeps what brute force keeps, with the links of 5 words at 0.80 beside those of operator 5."""
+    rng = random.Random(5)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    base, many, short = text(1000), text(600), text(30)
+    scattered = [f"x{k}" if k % 42 == 20 else w for k, w in enumerate(many)]
+    texts = [base, base + text(220), base[:830], text(500), many, scattered, short, short[:24] + text(1), text(3)]
+    texts = [" ".join(t) for t in texts]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect())
+    assert kept == _components(texts, [(3, 85), (5, 80)])
+    assert kept != _components(texts, [(3, 85)]) and kept != _components(texts, [(5, 80)])
