@@ -15,10 +15,15 @@ from matchboard.llm.html_text import extract_main_text
 from matchboard.llm.merge_replay import bpe_digests
 from matchboard.llm.near_dedup import near_duplicates
 from matchboard.llm.packed_tokens import token_digests
+from matchboard.llm.prefix_trie import SQL as OP12_SQL
+from matchboard.llm.prefix_trie import prefix_trie
 from matchboard.llm.quality_rules import quality_rules
+from matchboard.llm.small_world import SQL as OP11_SQL
+from matchboard.llm.small_world import near_vectors
 from matchboard.llm.substring_dedup import earlier_digests
 from matchboard.llm.suffix_dedup import repeat_digests
 from matchboard.llm.token_counts import token_counts
+from matchboard.llm.turn_repair import repair_report
 from matchboard.llm.zstd_quality import quality_scores
 
 _shipped: set[str] = set()
@@ -89,6 +94,18 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -100,6 +117,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_merge_replay": op10_merge_replay,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_turn_repair": op13_turn_repair,
 }
 
-ORACLE = {"op6_decontamination": OP6_SQL}
+ORACLE = {"op6_decontamination": OP6_SQL, "op11_embedding_dedup": OP11_SQL, "op12_prefix_trie": OP12_SQL}
