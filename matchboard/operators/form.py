@@ -9,11 +9,13 @@ counts as the later one, which makes the order total.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchboard.operators.ranking import top_rows
+from matchboard.functions.casts import at, time_type
+from matchboard.operators.ranking import rank_rows, top_rows
 
 # Result letters, their points and the delta that counts them.
 RESULTS = (("W", 3, "wins_inc"), ("D", 1, "draws_inc"), ("L", 0, "losses_inc"))
@@ -110,8 +112,11 @@ def form_table(deltas: DataFrame, n: int = 5, group_cols: Sequence[str] = ()) ->
 
     Teams with fewer than ``n`` matches so far are left out.
     """
-    recent = _with_recent(deltas, n, group_cols).filter(F.size("recent") == n)
-    return recent.select(
+    return _form_rows(_with_recent(deltas, n, group_cols), n, group_cols)
+
+
+def _form_rows(states: DataFrame, n: int, group_cols: Sequence[str]) -> DataFrame:
+    return states.filter(F.size("recent") == n).select(
         "updated_at",
         *group_cols,
         "team",
@@ -123,19 +128,52 @@ def form_table(deltas: DataFrame, n: int = 5, group_cols: Sequence[str] = ()) ->
     )
 
 
+def form_states(
+    history: DataFrame,
+    n: int = 5,
+    group_cols: Sequence[str] = (),
+    opening: DataFrame | None = None,
+    since: datetime | None = None,
+) -> DataFrame:
+    """``recent``, the last ``n`` matches (oldest first), of each team at each snapshot.
+
+    This is all that later snapshots need of earlier ones: ``history`` may begin with the
+    snapshot ``since`` if ``opening`` holds its states, and the states after it are returned.
+    Teams without a match so far have no state.
+    """
+    states = _with_recent(weekly_deltas(history, group_cols), n, group_cols, opening)
+    if since is None:
+        return states
+    return states.filter(F.col("updated_at") > at(since, time_type(history, "updated_at")))
+
+
+def form_of_states(
+    states: DataFrame, n: int = 5, k: int | None = 3, group_cols: Sequence[str] = ()
+) -> DataFrame:
+    """Recent form from stored states of at least ``n`` matches; see ``recent_form``."""
+    newest = F.reverse(F.slice(F.reverse("recent"), 1, n))
+    return _ranked_form(_form_rows(states.withColumn("recent", newest), n, group_cols), k, group_cols)
+
+
 def recent_form(
     history: DataFrame,
     n: int = 5,
-    k: int = 3,
+    k: int | None = 3,
     group_cols: Sequence[str] = (),
     include_first: bool = False,
 ) -> DataFrame:
-    """The ``k`` teams in best form at each snapshot."""
+    """The ``k`` teams in best form at each snapshot; all of them with ``k=None``."""
     deltas = weekly_deltas(history, group_cols, include_first)
-    table = form_table(deltas, n, group_cols).withColumn(
-        "goal_balance", F.col("goals_for") - F.col("goals_against")
-    )
-    best = top_rows(table, [*group_cols, "updated_at"], FORM_ORDER, k, "form_ranking")
+    return _ranked_form(form_table(deltas, n, group_cols), k, group_cols)
+
+
+def _ranked_form(table: DataFrame, k: int | None, group_cols: Sequence[str]) -> DataFrame:
+    table = table.withColumn("goal_balance", F.col("goals_for") - F.col("goals_against"))
+    snapshot = [*group_cols, "updated_at"]
+    if k is None:
+        best = rank_rows(table, snapshot, FORM_ORDER, "form_ranking")
+    else:
+        best = top_rows(table, snapshot, FORM_ORDER, k, "form_ranking")
     return best.select(
         "updated_at",
         *group_cols,
@@ -148,7 +186,9 @@ def recent_form(
     )
 
 
-def _with_recent(deltas: DataFrame, n: int, group_cols: Sequence[str]) -> DataFrame:
+def _with_recent(
+    deltas: DataFrame, n: int, group_cols: Sequence[str], opening: DataFrame | None = None
+) -> DataFrame:
     """Add ``recent``: up to ``n`` last matches per snapshot, oldest first.
 
     A match that is not among the last ``n`` of its own week can never be among the
@@ -171,6 +211,9 @@ def _with_recent(deltas: DataFrame, n: int, group_cols: Sequence[str]) -> DataFr
         runs.insert(0, F.array_repeat(match, take.cast("int")))
         room = room - take
     weeks = deltas.select(*entity, "updated_at", F.concat(*runs).alias("week"))
+    if opening is not None:
+        # A state stands for a week with just these matches.
+        weeks = weeks.unionByName(opening.select(*entity, "updated_at", F.col("recent").alias("week")))
     weeks = weeks.withColumn("played", F.size("week") > 0)
 
     own_weeks = Window.partitionBy(*entity, "played").orderBy("updated_at")

@@ -22,8 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-_PROBE = "_key_hash"
-_KEY = "_key_{}"
 
 
 def semi_join(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -49,6 +47,25 @@ def attach(
     return left.join(right, on).select(*df.columns, *columns)
 
 
+def mark_keys(df: DataFrame, keys: DataFrame, key: str | Sequence[str], flag: str) -> DataFrame:
+    """``df`` with a column ``flag``: true where its key occurs in ``keys``, null keys included.
+
+    ``keys`` are distinct and have the types of ``df``; the hash keeps a hot key splittable.
+    """
+    names = _names(key)
+    taken = {c.lower() for c in df.columns} | {flag}
+    on = [_free(f"_key_{i}", taken) for i in range(len(names))]
+    hashed, probe = _free("_key_hash", taken), _free("_probe", taken)
+    right = keys.select(*[F.col(c).alias(n) for c, n in zip(names, on)], F.lit(True).alias(flag))
+    right = right.withColumn(hashed, F.xxhash64(*on))
+    left = df.withColumn(probe, F.xxhash64(*names))
+    same = F.col(probe) == F.col(hashed)
+    for name, other in zip(names, on):
+        same = same & F.col(name).eqNullSafe(F.col(other))
+    joined = left.join(right, same, "left")
+    return joined.select(*df.columns, F.coalesce(flag, F.lit(False)).alias(flag))
+
+
 def _names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
@@ -58,17 +75,25 @@ def _aligned(
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides with equal-typed key columns to join on, the right one distinct."""
     common = df.select(*keys).limit(0).union(other.select(*keys).limit(0)).schema
-    on = [_KEY.format(i) for i in range(len(keys))]
+    taken = {c.lower() for c in (*df.columns, *columns)}
+    on = [_free(f"_key_{i}", taken) for i in range(len(keys))]
     typed = {name: F.col(key).cast(field.dataType) for name, key, field in zip(on, keys, common)}
     right = other.select(*[c.alias(n) for n, c in typed.items()], *columns).distinct()
     left = df.withColumns(typed)
     if all(not isinstance(f.dataType, StringType) or _binary(f.dataType) for f in common):
-        probe = F.xxhash64(*on)
-        left, right = left.withColumn(_PROBE, probe), right.withColumn(_PROBE, probe)
-        on = [*on, _PROBE]
+        name, probe = _free("_key_hash", taken), F.xxhash64(*on)
+        left, right = left.withColumn(name, probe), right.withColumn(name, probe)
+        on = [*on, name]
     return left, right, on
 
 
+def _free(name: str, taken: set[str]) -> str:
+    """The name, with underscores in front as long as a column has it."""
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def _binary(kind: StringType) -> bool:
     return kind.collation == "UTF8_BINARY"
 

@@ -81,13 +81,18 @@ def standings_history(
     group_cols: Sequence[str] = (),
     points: Points = Points(),
     slices: int = 1,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
     """Standings of every weekly snapshot from ``first`` to ``last`` in one job.
 
+    ``opening`` are the standings of an earlier snapshot; ``facts`` are then only those after
+    it, and its totals are carried on. Totals of teams that have not played are not, as the
+    team may have left the list.
+
     A match whose ``updated_at`` is off the weekly grid of ``first`` counts from the
-    next snapshot on. Matches are summed per team and week, running sums give the totals, and the weeks in which
-    a team does not play are filled after the running sum, so only weeks with
-    matches are shuffled.
+    next snapshot on. Matches are summed per team and week, running sums give the totals,
+    and the weeks in which a team does not play are filled after the running sum, so only
+    weeks with matches are shuffled.
     """
     kind = time_type(facts, "updated_at")
     begin, end = at(first, kind), at(last, kind)
@@ -100,6 +105,9 @@ def standings_history(
     played = played.drop("_begin").filter(F.col("updated_at") <= end)
     idle = _idle(teams, group_cols).withColumn("updated_at", begin)
     rows = team_results(played, [*group_cols, "updated_at"]).unionByName(idle)
+    if opening is not None:
+        active = opening.filter(F.col("wins") + F.col("draws") + F.col("losses") > 0)
+        rows = rows.unionByName(active.select(*entity, *MEASURES, begin.alias("updated_at")))
     weekly = rows.groupBy(*entity, "updated_at").agg(*_sums())
 
     timeline = Window.partitionBy(*entity).orderBy("updated_at")

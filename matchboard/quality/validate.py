@@ -1,8 +1,8 @@
 """Metrics of a check suite, the rows behind them, and what to do about them.
 
-However many row checks a suite has, a frame is read once for them: they become
-counters of one aggregate. Each group check is one aggregate over its own key, and
-checks against other tables take one pass each.
+However many checks a suite has, a frame is read once for its row checks, which become
+counters of one aggregate, and once for its group checks, which become grouping sets of
+another. Checks against other tables take one pass each.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from matchboard.operators.keys import anti_join, duplicate_keys, presence
+from matchboard.operators.keys import anti_join, duplicate_keys, mark_keys, presence
 from matchboard.quality.checks import (
     HasSchema,
     OncePer,
@@ -26,6 +26,7 @@ from matchboard.quality.checks import (
     Unique,
 )
 
+
 class ValidationError(AssertionError):
     """A strict suite failed; ``failed`` holds the metrics of the broken checks."""
 
@@ -82,6 +83,43 @@ def violations(df: DataFrame, check) -> DataFrame:
     return df.filter(check.broken(df))
 
 
+def violating_rows(df: DataFrame, checks: Sequence, by: Sequence[str] = ()) -> DataFrame:
+    """Every row that breaks a check of a suite, once, with ``broken``: the check numbers.
+
+    Numbers are those of ``validate``. Row checks are conditions on the scan. For a group
+    check the keys that repeat (within ``by``) are joined to the rows, for a list of allowed
+    values the values that are not on it, for ids the ids that a table lacks: all are reduced
+    to distinct keys first, and null is a key like any other. Checks without rows of their
+    own (schema, row counts, a column that is missing) are left out.
+    """
+    broken, frame = [], df
+    for number, check in enumerate(_unfold(checks), start=1):
+        if isinstance(check, (HasSchema, SameCount)) or any(c not in df.columns for c in check.columns):
+            continue
+        if isinstance(check, (Unique, OncePer)):
+            keys = list(dict.fromkeys([*by, *check.columns]))
+            bad = duplicate_keys(df, keys)
+        elif isinstance(check, OneOf) and isinstance(check.allowed, DataFrame):
+            keys = [check.column]
+            known = df.select(check.column).where(F.col(check.column).isNotNull()).distinct()
+            bad = anti_join(known, check.allowed.toDF(check.column), check.column)
+        elif isinstance(check, SameIds):
+            keys = [*by, check.id_column]
+            if any(c not in df.columns for c in keys):
+                continue
+            bad = _one_sided(presence(check.tables, keys), check)
+        else:
+            broken.append(F.when(check.broken(df), number))
+            continue
+        flag = f"_broken_{number}"
+        frame = mark_keys(frame, bad, keys, flag)
+        broken.append(F.when(F.col(flag), number))
+    if not broken:
+        return df.limit(0).withColumn("broken", F.array().cast("array<int>"))
+    tagged = frame.withColumn("broken", F.array_compact(F.array(*broken)))
+    return tagged.where(F.size("broken") > 0).select(*df.columns, "broken")
+
+
 def sample_values(df: DataFrame, check, n: int = 5) -> DataFrame:
     """The first ``n`` of the different values that break a check, in their order."""
     return violations(df, check).select(*check.columns).distinct().orderBy(*check.columns).limit(n)
@@ -127,14 +165,30 @@ def _row_metrics(df: DataFrame, checks: list, by: Sequence[str]) -> DataFrame:
 
 
 def _group_metrics(df: DataFrame, checks: list, by: Sequence[str]) -> DataFrame:
-    # One aggregation per key, by native types; the map side merges equal keys first.
-    parts = []
-    for number, check in checks:
-        keys = [c for c in dict.fromkeys(check.columns) if c not in by]
-        copies = df.groupBy(*by, *keys).agg(F.count("*").alias("_copies"))
-        count = F.coalesce(F.sum(check.surplus(F.col("_copies"))), F.lit(0)).alias(f"n{number}")
-        parts.append(_unpivot(copies.groupBy(*by).agg(count), [(number, check)], by))
-    return reduce(DataFrame.unionByName, parts)
+    """Counters of all group checks from one pass: a grouping set for each different key.
+
+    Values are grouped by their own types, and equal ones are merged before the shuffle.
+    """
+    keys = [tuple(c for c in dict.fromkeys(check.columns) if c not in by) for _, check in checks]
+    different = list(dict.fromkeys(frozenset(key) for key in keys))
+    columns = list(dict.fromkeys(c for key in keys for c in key))
+    if len(different) == 1:
+        copies = df.groupBy(*by, *columns).agg(F.count("*").alias("_copies"))
+        copies = copies.withColumn("_set", F.lit(0))
+    else:
+        # A column by another name may be grouped and checked at once, also if it is one of ``by``.
+        sets = [[*by, *(c for c in columns if c in key)] for key in different]
+        grouped = df.select(*by, *columns).groupingSets(sets, *by, *columns)
+        copies = grouped.agg(F.count("*").alias("_copies"), F.grouping_id(*by, *columns).alias("_id"))
+        # grouping_id has a bit for each column that is not part of the set
+        width = len(columns)
+        ids = [sum(1 << (width - 1 - k) for k, c in enumerate(columns) if c not in key) for key in different]
+        copies = copies.withColumn("_set", F.coalesce(*[F.when(F.col("_id") == x, k) for k, x in enumerate(ids)]))
+    counters = []
+    for (number, check), key in zip(checks, keys):
+        own = F.when(F.col("_set") == different.index(frozenset(key)), check.surplus(F.col("_copies")))
+        counters.append(F.coalesce(F.sum(own), F.lit(0)).alias(f"n{number}"))
+    return _unpivot(copies.groupBy(*by).agg(*counters), checks, by)
 
 
 def _same_ids(number: int, check: SameIds, by: Sequence[str]) -> DataFrame:

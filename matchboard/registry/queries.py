@@ -63,7 +63,7 @@ from matchboard.quality import (
 from matchboard.quality.suites import PeriodBounds
 from matchboard.schemas import RAW_SCORES, STANDINGS, layout
 from matchboard.sources.staging import scratch_path, stage
-from matchboard.sources.tables import export_csv, read_raw, write_table
+from matchboard.sources.tables import export_csv, read_raw
 
 WEEK_NUMBER = 100
 AS_OF = SEASON.start + (WEEK_NUMBER + 1) * WEEK
@@ -542,7 +542,7 @@ def job_rejects(m: Matches) -> DataFrame:
 def form_export(m: Matches) -> DataFrame:
     base = scratch_path(m.spark, "tables")
     cfg = jobs.Config("", base, f"{base}/output", m.teams(), SEASON, time=TIME)
-    write_table(m.history(), cfg.table(jobs.GOLD_STANDINGS, True))
+    jobs.store_layer(m.spark, cfg, jobs.GOLD_STANDINGS, True, m.history())
     jobs.build_form(m.spark, cfg)
     schema = (
         "updated_at timestamp_ntz, team string, goals_for bigint, goals_against bigint, "

@@ -18,13 +18,14 @@ CORRUPT = "_corrupt_record"
 
 
 def read_raw(
-    spark: SparkSession, path: str, columns: str, keep_corrupt: bool = False
+    spark: SparkSession, path: str | list[str], columns: str, keep_corrupt: bool = False
 ) -> DataFrame:
     """Headered CSV, every column text, matched by name without an inference pass.
 
     The header gives the columns and their order; those of ``columns`` that it has are
-    returned, others are left out. Files of one folder share a header.
-    ``keep_corrupt`` adds the source line of rows with the wrong number of fields.
+    returned, others are left out. Files of one call share a header; ``sources.landing``
+    reads folders in which they differ. ``keep_corrupt`` adds the source line of rows with
+    the wrong number of fields.
     """
     header = spark.read.option("header", True).csv(path).columns
     schema = StructType([StructField(name, StringType()) for name in [*header, CORRUPT]])

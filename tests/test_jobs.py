@@ -102,7 +102,7 @@ def test_weeks_one_by_one_equal_the_backfill(spark, config, tmp_path):
     assert table(last) == EXPECTED
     for name in (jobs.BRONZE_SCORES, jobs.BRONZE_SCHEDULE, jobs.SILVER_FACTS):
         one, other = (
-            spark.read.parquet(c.table(name, True)) for c in (config, backfill)
+            jobs.read_layer(spark, c, name, True) for c in (config, backfill)
         )
         assert one.count() == 6
         assert one.select(*other.columns).exceptAll(other).isEmpty()
@@ -124,7 +124,7 @@ def test_week_that_becomes_empty_is_cleared(spark, config, tmp_path):
     kept = [m for m in season_matches() if m[1] != 1]
     emptied = replace(config, source=write_source(tmp_path / "again", kept))
     jobs.run_week(spark, emptied, 1)
-    facts = spark.read.parquet(config.table(jobs.SILVER_FACTS, True))
+    facts = jobs.read_layer(spark, config, jobs.SILVER_FACTS, True)
     assert {r["game_id"] for r in facts.select("game_id").collect()} == {"g1", "g2"}
     history = jobs.read_history(spark, config)
     weeks = history.groupBy("updated_at").agg(F.sum("wins").alias("wins")).collect()
@@ -196,7 +196,7 @@ def test_backfill_leaves_out_what_weekly_runs_leave_out(spark, tmp_path):
     assert "unique game_id" in str(error.value)
     one, other = jobs.read_history(spark, weekly), jobs.read_history(spark, at_once)
     assert one.count() == other.count() == 4 and one.exceptAll(other).isEmpty()
-    facts = [spark.read.parquet(c.table(jobs.SILVER_FACTS, True)) for c in (weekly, at_once)]
+    facts = [jobs.read_layer(spark, c, jobs.SILVER_FACTS, True) for c in (weekly, at_once)]
     assert facts[0].select(*facts[1].columns).exceptAll(facts[1]).isEmpty()
 
 
