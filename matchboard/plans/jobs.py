@@ -10,6 +10,7 @@ are computed again. Metrics of the checks are stored whether a run is published
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce, wraps
@@ -158,6 +159,12 @@ class Report:
             raise ValidationError(failed)
 
 
+def _together(*tasks: Callable) -> list:
+    """Run tasks that do not need each other's results side by side."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [done.result() for done in [pool.submit(task) for task in tasks]]
+
+
 def _job(job: Callable) -> Callable:
     """Run within the transaction given as ``tx``, or in one of its own, and clean up."""
 
@@ -201,10 +208,12 @@ def build_facts(spark: SparkSession, cfg: Config, period: Period, weekly: bool,
     keys = [snapshot_key(period.updated_at)] if weekly else None
     schedule = _read(tx, cfg, BRONZE_SCHEDULE, weekly, keys)
     scores = _read(tx, cfg, BRONZE_SCORES, weekly, keys)
-    facts, repeated = guarded_facts(schedule, scores)
+    joined, repeated = guarded_facts(schedule, scores)
     stamp = at(period.updated_at, cfg.time)
-    _store(tx, cfg, repeated.withColumn(SNAPSHOT, stamp), REPEATED_IDS, weekly, period)
-    facts = _store(tx, cfg, facts, SILVER_FACTS, weekly, period)
+    _, facts = _together(
+        lambda: _store(tx, cfg, repeated.withColumn(SNAPSHOT, stamp), REPEATED_IDS, weekly, period),
+        lambda: _store(tx, cfg, joined, SILVER_FACTS, weekly, period),
+    )
     tables = {"schedule": schedule, "scores": scores, "matches": facts}
     report = Report()
     checks = suites.match_facts(PeriodBounds.of(period), tables, cfg.time)
@@ -254,11 +263,12 @@ def build_standings(spark: SparkSession, cfg: Config, period: Period, weekly: bo
         opening=_read(tx, cfg, FORM_STATES, True, before) if before else None,
         since=_moment(since) if before else None,
     )
-    tx.write_parts(states, _named(FORM_STATES, True), clear=wanted)
-
     checks = suites.standings(cfg.teams, cfg.teams.count(), PeriodBounds.by_row().max_round)
     metrics = validate(_with_period(table, cfg), checks, (SNAPSHOT,))
-    report.note(cfg, "standings", metrics, None, replace_all=False)
+    _together(
+        lambda: tx.write_parts(states, _named(FORM_STATES, True), clear=wanted),
+        lambda: report.note(cfg, "standings", metrics, None, replace_all=False),
+    )
     report.enforce(cfg, "standings")
     return report
 
@@ -435,31 +445,34 @@ def _bronze(cfg, report, tx, scores, schedule, bounds, stamp, by, period) -> lis
     the caller decides on them. Returns their metrics.
     """
     weekly = bool(by) or period is not None
-    good = []
+    good, tasks = [], []
+
+    def write(df: DataFrame, name: str) -> Callable:
+        return lambda: _store(tx, cfg, df, name, weekly, period, replace_all=bool(by))
+
+    def note(layer: str, df: DataFrame, checks: list) -> Callable:
+        return lambda: report.note(cfg, layer, validate(_bounded(df, cfg, by), checks, by), period)
+
     for layer, df, suite, clean, name in (
         ("raw_scores", scores, suites.raw_scores, clean_scores, REJECTED_SCORES),
         ("raw_schedule", schedule, suites.raw_schedule, clean_schedule, REJECTED_SCHEDULE),
     ):
         malformed = df.filter(F.col(CORRUPT).isNotNull())
         whole = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        report.note(cfg, layer, validate(_bounded(whole, cfg, by), suite(bounds), by), period)
         typed, bad = clean(whole, stamp, cfg.time)
         broken = malformed.drop(CORRUPT).withColumn(REASONS, F.array(F.lit(MALFORMED)))
         bad = bad.withColumn(SNAPSHOT, stamp).unionByName(broken.withColumn(SNAPSHOT, stamp))
-        _store(tx, cfg, bad, name, weekly, period, replace_all=bool(by))
-        report.rejected[layer] = tx.written[-1]
+        tasks += [write(bad, name), note(layer, whole, suite(bounds))]
         good.append(typed)
-    scores, schedule = (
-        _store(tx, cfg, df, name, weekly, period, replace_all=bool(by))
-        for df, name in zip(reconcile(*good, ["game_id", *by]), (BRONZE_SCORES, BRONZE_SCHEDULE))
+    kept = reconcile(*good, ["game_id", *by])
+    tasks += [write(df, name) for df, name in zip(kept, (BRONZE_SCORES, BRONZE_SCHEDULE))]
+    *_, scores, schedule = _together(*tasks)
+    for layer, name in (("raw_scores", REJECTED_SCORES), ("raw_schedule", REJECTED_SCHEDULE)):
+        report.rejected[layer] = tx.folders[_named(name, weekly)]
+    metrics = _together(
+        note("bronze_scores", scores, [*suites.bronze_scores(bounds, cfg.time), SameCount(schedule)]),
+        note("bronze_schedule", schedule, suites.bronze_schedule(bounds, cfg.time)),
     )
-    metrics = []
-    for layer, df, suite, more in (
-        ("bronze_scores", scores, suites.bronze_scores, [SameCount(schedule)]),
-        ("bronze_schedule", schedule, suites.bronze_schedule, []),
-    ):
-        checks = [*suite(bounds, cfg.time), *more]
-        metrics.append(report.note(cfg, layer, validate(_bounded(df, cfg, by), checks, by), period))
     counts = metrics[0].filter(F.col("check") == SameCount.name)
     report.note(cfg, "row_counts", counts.drop(SNAPSHOT) if period is not None else counts, period)
     return metrics

@@ -19,6 +19,7 @@ from matchboard.quality.validate import (
     sample_values,
     summary,
     validate,
+    violating_rows,
     violations,
 )
 
@@ -39,5 +40,6 @@ __all__ = [
     "sample_values",
     "summary",
     "validate",
+    "violating_rows",
     "violations",
 ]

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from matchboard.schemas import MATCH_FACTS, RAW_SCHEDULE, RAW_SCORES, STANDINGS, column_names
+from matchboard.schemas import (
+    MATCH_FACTS,
+    RAW_SCHEDULE,
+    RAW_SCORES,
+    SCHEDULE,
+    SCORES,
+    STANDINGS,
+    column_names,
+)
 
 ANCHOR = "TIMESTAMP '1994-12-26 08:00:00'"
 END = "TIMESTAMP '2001-08-06 08:00:00'"
@@ -367,17 +375,79 @@ _FACTS_REPORT = _report(
         for a, b in _ID_PAIRS
     ]
 )
-_LAST = f"(SELECT * FROM history WHERE updated_at = {END})"
-_STANDINGS_REPORT = _numbered([
+_ROUNDS = f"({_week('updated_at')} + 1)"
+_STANDINGS_ROWS = [
+    ("schema", "", "0"),
+    ("unique", "team", "count(*) - count(DISTINCT team)"),
+    *[("not_null", name, f"count(*) FILTER ({name} IS NULL)") for name in column_names(STANDINGS)],
+    ("between", "ranking", "count(*) FILTER (ranking < 1 OR ranking > (SELECT count(*) FROM nation))"),
+    *[("between", name, f"count(*) FILTER ({name} < 0 OR {name} > {_ROUNDS})") for name in ("wins", "draws", "losses")],
+    ("one_of", "team", "count(*) FILTER (team NOT IN (SELECT n_name FROM nation))"),
+]
+_STANDINGS_REPORT = "SELECT *, violations = 0 AS passed FROM (" + " UNION ALL ".join(
+    f"""SELECT updated_at, CAST({number} AS INTEGER) AS check_no, '{check}' AS "check", '{target}' AS target,
+        CAST({count} AS BIGINT) AS violations FROM history GROUP BY updated_at"""
+    for number, (check, target, count) in enumerate(_STANDINGS_ROWS, start=1)
+) + ")"
+_BRONZE_SCORES_ROWS = [
     ("schema", "", "SELECT 0"),
-    ("unique", "team", _surplus(_LAST, "team")),
-    *_not_null(_LAST, column_names(STANDINGS)),
-    ("between", "ranking", _count(_LAST, _number("ranking", 1, 25))),
-    ("between", "wins", _count(_LAST, _number("wins", 0, 300))),
-    ("between", "draws", _count(_LAST, _number("draws", 0, 300))),
-    ("between", "losses", _count(_LAST, _number("losses", 0, 300))),
-    ("one_of", "team", _count(_LAST, "team NOT IN (SELECT n_name FROM nation)")),
-])
+    ("unique", "game_id", _surplus("typed_scores", "game_id")),
+    *_not_null("typed_scores", [*column_names(SCORES), "updated_at", "ingestion_date"]),
+    ("between", "home_goals", _count("typed_scores", _number("home_goals", 0, None))),
+    ("between", "away_goals", _count("typed_scores", _number("away_goals", 0, None))),
+    *_time_rows("typed_scores", "ingestion_time", ANCHOR, END),
+    *_time_rows("typed_scores", "updated_at", END, END),
+]
+_BRONZE_SCHEDULE_ROWS = [
+    ("schema", "", "SELECT 0"),
+    ("differ", "home_team,away_team",
+     _count("typed_schedule", "home_team IS NOT DISTINCT FROM away_team")),
+    ("unique", "game_id", _surplus("typed_schedule", "game_id")),
+    *_not_null("typed_schedule", [*column_names(SCHEDULE), "updated_at"]),
+    ("once_per", "round,home_team", _repeated("typed_schedule", "round, home_team")),
+    ("once_per", "round,away_team", _repeated("typed_schedule", "round, away_team")),
+    ("between", "round", _count("typed_schedule", _number("round", 1, WEEKS))),
+    *_time_rows("typed_schedule", "game_start_time", ANCHOR, END),
+    *_time_rows("typed_schedule", "updated_at", END, END),
+]
+_COMMON["calm"] = """
+    SELECT * FROM facts
+    QUALIFY row_number() OVER (PARTITION BY round, home_team ORDER BY game_id) = 1
+        AND row_number() OVER (PARTITION BY round, away_team ORDER BY game_id) = 1"""
+_COMMON["changed"] = f"""
+    SELECT *, CASE WHEN home_goals > away_goals THEN 'home_win' WHEN home_goals < away_goals THEN 'away_win'
+        ELSE 'draw' END AS match_outcome
+    FROM (SELECT * EXCLUDE (match_outcome) REPLACE (
+        home_goals + CASE WHEN updated_at = {AS_OF} THEN 2 ELSE 0 END AS home_goals) FROM calm)"""
+_NEXT = f"({AS_OF} + INTERVAL 7 DAY)"
+
+
+def _snapshot(facts: str, moment: str) -> str:
+    return f"SELECT *, {moment} AS updated_at FROM ({_ranked(_totals(facts))})"
+
+
+_SCORE_FAULTS = [
+    (2, "count(*) OVER (PARTITION BY game_id) > 1"),
+    *[(3 + k, f"{name} IS NULL") for k, name in enumerate(column_names(RAW_SCORES))],
+    (7, _number("home_goals", 0, None)),
+    (8, _number("away_goals", 0, None)),
+    (9, "TRY_CAST(ingestion_time AS TIMESTAMP) IS NULL"),
+    (10, _time("ingestion_time", ANCHOR, END)),
+]
+_FACT_FAULTS = [
+    (1, "count(*) OVER (PARTITION BY updated_at, round, home_team) > 1"),
+    (2, "away_team NOT IN (SELECT n_name FROM nation WHERE n_regionkey < 2)"),
+    (3, "game_id NOT IN (SELECT game_id FROM goals WHERE o_orderpriority <> '1-URGENT')"),
+    (4, "home_goals < 1 OR home_goals > 5"),
+    (5, "count(*) OVER (PARTITION BY updated_at, match_time) > 1"),
+]
+
+
+def _faulty(table: str, faults: list[tuple[int, str]], columns: str = "*") -> str:
+    cases = ", ".join(f"CASE WHEN {condition} THEN '{number}' END" for number, condition in faults)
+    return f"SELECT * FROM (SELECT {columns}, concat_ws(',', {cases}) AS broken FROM {table}) WHERE broken <> ''"
+
+
 _BY_SNAPSHOT = """
     WITH per_team AS (SELECT updated_at, count(*) - 1 AS again FROM facts
                       GROUP BY updated_at, round, away_team),
@@ -431,6 +501,11 @@ _BODIES = {
                   AS week FROM facts)
         LEFT JOIN (SELECT {_week("updated_at")} AS week, count(*) AS n FROM facts GROUP BY 1)
         USING (week)""",
+    "season_calendar": f"""SELECT week, {_period_columns("week")}, {_week_end("week")} AS updated_at,
+            coalesce(n, 0) AS matches
+        FROM (SELECT unnest(range({WEEKS})) AS week)
+        LEFT JOIN (SELECT {_week("updated_at")} AS week, count(*) AS n FROM facts GROUP BY 1)
+        USING (week)""",
     "clean_scores_rows": "SELECT * FROM typed_scores",
     "clean_schedule_rows": "SELECT * FROM typed_schedule",
     "rejected_scores": """SELECT *, concat_ws(',',
@@ -572,6 +647,34 @@ _BODIES = {
     "job_rejects": """SELECT *, 'away_goals' AS rejected_columns
         FROM whole_scores WHERE away_goals = 'x' AND ingestion_time <> 'no time'""",
     "form_export": _best("form5", 3),
+    "bronze_scores_report": _numbered(_BRONZE_SCORES_ROWS),
+    "bronze_schedule_report": _numbered(_BRONZE_SCHEDULE_ROWS),
+    "violations_by_suite": _faulty("raw_scores", _SCORE_FAULTS),
+    "violations_of_facts": _faulty("facts", _FACT_FAULTS, "game_id"),
+    "facts_repeated_ids": """SELECT facts.* FROM facts JOIN goals USING (game_id)
+        WHERE o_orderstatus <> 'F'
+        UNION ALL SELECT facts.* FROM facts JOIN goals USING (game_id)
+        WHERE o_orderstatus <> 'F' AND o_orderpriority = '1-URGENT'""",
+    "ids_left_out": """SELECT game_id, CAST(2 AS BIGINT) AS schedule_rows, CAST(2 AS BIGINT) AS score_rows
+        FROM schedule JOIN goals USING (game_id) WHERE o_orderstatus = 'F'""",
+    "standings_carried_on": f"SELECT * FROM history WHERE updated_at > {AS_OF}",
+    "form_carried_on": f"SELECT * FROM ({_best('form5', 3)}) WHERE updated_at > {AS_OF}",
+    "recent_form_ranked": _best("form5", 1_000_000),
+    "snapshot_overwrite": f"""SELECT * REPLACE (CAST(ranking + CASE WHEN updated_at = {AS_OF}
+        THEN 100 ELSE 0 END AS INTEGER) AS ranking) FROM history""",
+    "landed_week": f"""SELECT * FROM raw_scores
+        WHERE {_week("TRY_CAST(ingestion_time AS TIMESTAMP)")} = 100""",
+    "strict_season_job": _ranked(_totals("calm")),
+    "row_count_gate": f"""SELECT CAST(15 AS INTEGER) AS check_no, 'same_count' AS "check", 'rows' AS target,
+            count(*) AS violations, count(*) = 0 AS passed
+        FROM calm WHERE updated_at = {AS_OF}""",
+    "rerun_week_job": " UNION ALL ".join([
+        _snapshot(f"(SELECT * FROM changed WHERE updated_at = {AS_OF})", AS_OF),
+        _snapshot(f"(SELECT * FROM changed WHERE updated_at IN ({AS_OF}, {_NEXT}))", _NEXT),
+    ]),
+    "backfill_one_bad_week": f"""SELECT * FROM (
+        {_history(f"(SELECT * FROM calm WHERE updated_at <> {AS_OF})")})
+        WHERE updated_at <> {AS_OF} OR NOT EXISTS (SELECT 1 FROM calm WHERE updated_at = {AS_OF})""",
 }
 
 

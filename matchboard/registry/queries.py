@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchboard.fixtures import SEASON, TIME, Matches
-from matchboard.functions.casts import at, to_int
+from matchboard.functions.casts import at, to_int, to_time
 from matchboard.functions.periods import (
     WEEK,
+    calendar,
     season_period,
     week_columns,
     week_index,
     week_period,
 )
 from matchboard.operators.cleaning import REASONS, clean_schedule, clean_scores, slice_period
+from matchboard.operators.facts import guarded_facts, repeated_ids
 from matchboard.operators.facts import match_facts as build_facts
 from matchboard.operators.form import (
+    form_of_states,
+    form_states,
     form_table,
     last_matches,
     matches_from_deltas,
@@ -54,16 +59,21 @@ from matchboard.quality import (
     SameIds,
     TimeBetween,
     Unique,
+    ValidationError,
     failures,
     sample_values,
     suites,
     validate,
+    violating_rows,
     violations,
 )
 from matchboard.quality.suites import PeriodBounds
 from matchboard.schemas import RAW_SCORES, STANDINGS, layout
+from matchboard.sources.landing import WEEK as LANDED_WEEK
+from matchboard.sources.landing import land
 from matchboard.sources.staging import scratch_path, stage
-from matchboard.sources.tables import export_csv, read_raw
+from matchboard.sources.tables import export_csv, read_raw, read_table, write_snapshots
+from matchboard.sources.versions import transaction
 
 WEEK_NUMBER = 100
 AS_OF = SEASON.start + (WEEK_NUMBER + 1) * WEEK
@@ -120,6 +130,14 @@ def week_calendar(m: Matches) -> DataFrame:
     )
 
 
+@query
+def season_calendar(m: Matches) -> DataFrame:
+    """Every week of the season, with its number of matches."""
+    played = m.facts().groupBy("updated_at").agg(F.count("*").alias("n"))
+    weeks = calendar(m.spark, SEASON, time=TIME).join(played, "updated_at", "left")
+    return weeks.withColumn("matches", F.coalesce("n", F.lit(0))).drop("n")
+
+
 # Cleaning and keys
 
 
@@ -356,11 +374,50 @@ def validate_by_snapshot(m: Matches) -> DataFrame:
     return validate(m.facts(), checks, by=["updated_at"])
 
 
+@query
+def bronze_scores_report(m: Matches) -> DataFrame:
+    typed, _ = clean_scores(m.raw_scores(), SEASON.end, TIME)
+    return validate(stage(typed), suites.bronze_scores(_bounds(), TIME))
+
+
+@query
+def bronze_schedule_report(m: Matches) -> DataFrame:
+    typed, _ = clean_schedule(m.raw_schedule(), SEASON.end, TIME)
+    return validate(stage(typed), suites.bronze_schedule(_bounds(), TIME))
+
+
+@query
+def violations_by_suite(m: Matches) -> DataFrame:
+    """Every raw score that breaks a check, with the numbers of the checks it breaks."""
+    rows = violating_rows(m.raw_scores(), suites.raw_scores(_bounds()))
+    return rows.withColumn("broken", F.array_join("broken", ","))
+
+
+@query
+def violations_of_facts(m: Matches) -> DataFrame:
+    """The same for facts, with checks by group, on listed values and on ids of other tables."""
+    some = m.table("nation").filter(F.col("n_regionkey") < 2).select("n_name")
+    urgent = m.goals().filter(F.col("o_orderpriority") != "1-URGENT")
+    checks = [
+        OncePer(("round",), "home_team"),
+        OneOf("away_team", some),
+        SameIds({"facts": m.facts(), "others": urgent}),
+        Between("home_goals", 1, 5),
+        Unique("match_time"),
+    ]
+    rows = violating_rows(m.facts(), checks, by=["updated_at"])
+    return rows.select("game_id", F.array_join("broken", ",").alias("broken"))
+
+
 @query
 def standings_report(m: Matches) -> DataFrame:
+    """Checks of every snapshot; a team has at most as many results of a kind as rounds."""
     teams = m.teams()
-    last = stage(m.history().filter(F.col("updated_at") == at(SEASON.end, TIME)))
-    return validate(last, suites.standings(teams, teams.count(), 300))
+    week = week_index(F.col("updated_at"), SEASON, TIME)
+    history = stage(m.history())
+    bounded = history.select(*history.columns, *week_columns(week, SEASON, TIME)[:-1])
+    checks = suites.standings(teams, teams.count(), PeriodBounds.by_row().max_round)
+    return validate(bounded, checks, by=["updated_at"])
 
 
 def _bounds() -> PeriodBounds:
@@ -375,6 +432,28 @@ def match_facts(m: Matches) -> DataFrame:
     return m.facts()
 
 
+def _repeating(m: Matches) -> tuple[DataFrame, DataFrame]:
+    """Schedule and scores with copies: finished orders on both sides, urgent ones on one."""
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    twice = m.pairings().filter((F.col("home_team") != F.col("away_team")) & (status == "F"))
+    schedule = m.schedule().unionByName(twice.drop("o_orderstatus", "o_orderpriority"))
+    more = m.goals().filter((status == "F") | (priority == "1-URGENT"))
+    more = more.withColumn("ingestion_date", F.to_date("ingestion_time"))
+    scores = m.scores().unionByName(more.drop("o_orderstatus", "o_orderpriority"))
+    return schedule, scores
+
+
+@query
+def facts_repeated_ids(m: Matches) -> DataFrame:
+    """Facts of frames with copies; ids that repeat on both sides are left out."""
+    return guarded_facts(*_repeating(m))[0]
+
+
+@query
+def ids_left_out(m: Matches) -> DataFrame:
+    return repeated_ids(*_repeating(m))
+
+
 @query
 def one_match_lookup(m: Matches) -> DataFrame:
     return m.facts().filter(F.col("game_id") == "100")
@@ -438,9 +517,34 @@ def history_by_side(m: Matches) -> DataFrame:
     return standings_history(facts, teams, SEASON.start + WEEK, SEASON.end, ["league"])
 
 
+@query
+def standings_carried_on(m: Matches) -> DataFrame:
+    """The history after one snapshot, from that snapshot and the facts after it."""
+    facts = m.facts()
+    later = facts.filter(F.col("updated_at") > at(AS_OF, TIME))
+    opening = standings(facts, m.teams(), as_of=AS_OF)
+    return standings_history(later, m.teams(), AS_OF + WEEK, SEASON.end, opening=opening)
+
+
 # Recent form
 
 
+@query
+def form_carried_on(m: Matches) -> DataFrame:
+    """Best form after one snapshot, from the states stored with it and later standings."""
+    moment = at(AS_OF, TIME)
+    history = m.history()
+    kept = form_states(history.filter(F.col("updated_at") <= moment)).filter(F.col("updated_at") == moment)
+    later = history.filter(F.col("updated_at") >= moment)
+    return form_of_states(form_states(later, opening=stage(kept), since=AS_OF))
+
+
+@query
+def recent_form_ranked(m: Matches) -> DataFrame:
+    """All teams with five matches, ranked at every snapshot."""
+    return recent_form(m.history(), k=None)
+
+
 @query
 def weekly_delta_rows(m: Matches) -> DataFrame:
     return weekly_deltas(m.history())
@@ -506,6 +610,99 @@ def csv_reordered_columns(m: Matches) -> DataFrame:
     return read_raw(m.spark, path, RAW_SCORES)
 
 
+@query
+def snapshot_overwrite(m: Matches) -> DataFrame:
+    """A history of which one snapshot was written again; the others stay."""
+    path = scratch_path(m.spark, "history")
+    history = stage(m.history())
+    write_snapshots(history, path, replace_all=True)
+    again = history.filter(F.col("updated_at") == at(AS_OF, TIME))
+    write_snapshots(again.withColumn("ranking", F.col("ranking") + 100), path)
+    return read_table(m.spark, path, history.schema)
+
+
+@query
+def landed_week(m: Matches) -> DataFrame:
+    """The raw scores of one week, out of rows that have landed by week."""
+    folder, base = scratch_path(m.spark, "source"), scratch_path(m.spark, "tables")
+    export_csv(m.raw_scores(), folder)
+    week = week_index(to_time("ingestion_time", TIME), SEASON, TIME)
+    with transaction(m.spark, base) as tx:
+        rows = land(m.spark, tx, "raw/scores", folder, RAW_SCORES, week)
+    return rows.filter(F.col(LANDED_WEEK) == WEEK_NUMBER).drop(LANDED_WEEK, "_corrupt_record")
+
+
+def _calm_matches(m: Matches) -> DataFrame:
+    """Facts in which a team plays once at home and once away in a round, as strict checks ask."""
+    first = lambda team: F.row_number().over(Window.partitionBy("round", team).orderBy("game_id"))
+    marked = m.facts().withColumns({"_home": first("home_team"), "_away": first("away_team")})
+    return marked.filter("_home = 1 and _away = 1").drop("_home", "_away")
+
+
+def _calm_config(m: Matches, facts: DataFrame, more: DataFrame | None = None) -> jobs.Config:
+    """A strict configuration over files of these facts; ``more`` are further score rows."""
+    folder, base = scratch_path(m.spark, "source"), scratch_path(m.spark, "tables")
+    text = lambda *names: [F.col(c).cast("string").alias(c) for c in names]
+    scores = facts.select(*text("game_id", "home_goals", "away_goals", "ingestion_time"))
+    export_csv(scores if more is None else scores.unionByName(more), f"{folder}/{jobs.SCORES_FILE}")
+    schedule = facts.withColumnRenamed("match_time", "game_start_time")
+    columns = text("game_id", "round", "home_team", "away_team", "game_start_time")
+    export_csv(schedule.select(*columns), f"{folder}/{jobs.SCHEDULE_FILE}")
+    return jobs.Config(folder, base, f"{base}/output", m.teams(), SEASON, time=TIME)
+
+
+def _second_score(facts: DataFrame) -> DataFrame:
+    """Every match of one week once more, with another score."""
+    week = facts.filter(F.col("updated_at") == at(AS_OF, TIME))
+    return week.select("game_id", F.lit("77").alias("home_goals"), F.lit("0").alias("away_goals"), F.col("ingestion_time").cast("string").alias("ingestion_time"))
+
+
+@query
+def strict_season_job(m: Matches) -> DataFrame:
+    cfg = _calm_config(m, stage(_calm_matches(m)))
+    jobs.run_season(m.spark, cfg)
+    return jobs.read_standings(m.spark, cfg)
+
+
+@query
+def row_count_gate(m: Matches) -> DataFrame:
+    """The stored row counts of a strict run that they stop: every match of a week has two scores."""
+    facts = stage(_calm_matches(m))
+    cfg = _calm_config(m, facts, _second_score(facts))
+    try:
+        reports = jobs.run_season(m.spark, cfg)
+    except ValidationError:
+        return m.spark.read.parquet(cfg.table(jobs.QUALITY.format("row_counts"), False))
+    return m.spark.read.parquet(reports[0].metrics["row_counts"])
+
+
+@query
+def rerun_week_job(m: Matches) -> DataFrame:
+    """Two weeks, then the first again with other scores: both snapshots follow."""
+    weeks = [WEEK_NUMBER, WEEK_NUMBER + 1]
+    facts = stage(_calm_matches(m))
+    cfg = _calm_config(m, facts)
+    for week in weeks:
+        jobs.run_week(m.spark, cfg, week)
+    in_week = F.col("updated_at") == at(AS_OF, TIME)
+    changed = facts.withColumn("home_goals", F.col("home_goals") + F.when(in_week, 2).otherwise(0))
+    again = _calm_config(m, changed)
+    jobs.run_week(m.spark, replace(cfg, source=again.source), WEEK_NUMBER)
+    return jobs.read_history(m.spark, cfg)
+
+
+@query
+def backfill_one_bad_week(m: Matches) -> DataFrame:
+    """A strict backfill in which the matches of one week have two scores: it is left out."""
+    facts = stage(_calm_matches(m))
+    cfg = _calm_config(m, facts, _second_score(facts))
+    try:
+        jobs.run_backfill(m.spark, cfg, SEASON.weeks)
+    except ValidationError:
+        pass  # names the week; all others are published
+    return jobs.read_history(m.spark, cfg)
+
+
 @query
 def season_job(m: Matches) -> DataFrame:
     cfg = _config(m, _write_source(m))
