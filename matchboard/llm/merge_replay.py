@@ -1,14 +1,16 @@
 """Byte-level BPE by replaying merges over many words at once (operator 10).
 
 Each task cuts its documents into pattern matches and gathers the distinct ones that it
-has not seen. They are laid end to end as byte symbols, and an inverted index maps every
-adjacent pair that the vocabulary can join to its positions. Merges are then applied in
-rank order over all words together: the positions of the lowest-ranked pair are joined,
-and only the two neighbours of a joined symbol get new entries. A pair is known by the
-rank of its concatenation, as in the tiktoken library; a match that is itself in the
-vocabulary is its own token.
+has not seen. They are laid end to end as byte symbols, and an index holds the rank of
+every adjacent pair that the vocabulary can join, by its position. Merges are then applied
+in waves over all words together: a wave joins the pairs of least rank in each word, and only
+the two neighbours of a joined symbol get new entries. Words do not touch, so each sees its
+merges in the order of their ranks. A pair is known by the rank of its concatenation, as in
+the tiktoken library; a match that is itself in the vocabulary is its own token.
 
-The words of a document are then looked up. Word memory is bounded (``pieces.LIMIT``).
+A match is encoded and decoded once, and so is a chunk of matches; the documents are then
+put together from what is known of their chunks. Both memories are bounded
+(``pieces.LIMIT``).
 
 Defined results: a null or empty text has no tokens and the digests of empty strings;
 null doc_ids stay; equal rows give equal rows; other columns are ignored.
@@ -18,11 +20,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -32,6 +34,7 @@ SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 
 WORDS_AT_ONCE = 50_000
 PAIR = 24  # bits of an id
+NONE = np.int64(1) << 62  # no rank
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -77,65 +80,59 @@ class MergeReplay:
                 out[k] = ids
         return out  # type: ignore[return-value]
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, NONE for those the vocabulary cannot join."""
+        if not len(self.pairs):
+            return np.full(len(left), NONE)
+        keys = left << PAIR | right
+        place = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return np.where(self.pairs[place] == keys, self.pair_ranks[place], NONE)
+
     def _replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
         lengths = np.array([len(word) for word in words], dtype=np.int64)
-        begin = np.cumsum(lengths + 1) - lengths - 1
-        n = int(lengths.sum()) + len(words)
-        ids = np.full(n, -1, dtype=np.int64)  # -1 between words and where a symbol was joined away
-        data = np.frombuffer(b"".join(words), dtype=np.uint8)
-        ids[np.arange(len(data)) + np.repeat(np.arange(len(words)), lengths)] = self.byte_ids[data]
-        # the inverted index: rank of a pair to the positions of its left symbol, in order
-        at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-        keys = ids[at] << PAIR | ids[at + 1]
-        place = np.minimum(np.searchsorted(self.pairs, keys), max(len(self.pairs) - 1, 0))
-        known = self.pairs[place] == keys if len(self.pairs) else np.zeros(len(at), dtype=bool)
-        at, ranks = at[known], self.pair_ranks[place[known]] if len(self.pairs) else at[known]
-        order = np.argsort(ranks, kind="stable")
-        at, ranks = at[order], ranks[order]
-        cuts = np.flatnonzero(np.diff(ranks, prepend=-1, append=-1))
-        positions = at.tolist()
-        index = {int(ranks[a]): positions[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)}
-        starts = begin.tolist()
-        symbol = ids.tolist()
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        joined = self.joined.get
-        queue = list(index)
-        heapq.heapify(queue)
-        while queue:
-            rank = heapq.heappop(queue)
-            places = index.pop(rank, None)
-            if places is None:
+        symbol = self.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        word = np.repeat(np.arange(len(words)), lengths)
+        rank = np.full(len(symbol), NONE)  # of each symbol with the one after it in its word
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        rank[inner] = self._rank(symbol[inner], symbol[inner + 1])
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(symbol):
+            begin = np.flatnonzero(np.diff(word, prepend=-1))
+            size = np.diff(begin, append=len(word))
+            least = np.repeat(np.minimum.reduceat(rank, begin), size)
+            over = least == NONE
+            if over.any():  # words that no merge is left for
+                done.append((word[over], symbol[over]))
+                symbol, word, rank, least = symbol[~over], word[~over], rank[~over], least[~over]
                 continue
-            places.sort()
-            for at in places:
-                right = after[at]
-                if symbol[at] < 0 or right >= n or joined(symbol[at] << PAIR | symbol[right]) != rank:
-                    continue  # a neighbour was joined meanwhile
-                symbol[at], symbol[right] = rank, -1
-                beyond = after[right]
-                after[at] = beyond
-                before[beyond] = at
-                for left, other in ((before[at], at), (at, beyond)):
-                    if left < 0 or symbol[left] < 0 or symbol[other] < 0:
-                        continue
-                    new = joined(symbol[left] << PAIR | symbol[other])
-                    if new is not None:
-                        found = index.get(new)
-                        if found is None:
-                            index[new] = [left]
-                            heapq.heappush(queue, new)
-                        else:
-                            found.append(left)
-        starts.append(n)
-        return [
-            tuple([s for s in symbol[starts[k] : starts[k + 1]] if s >= 0]) for k in range(len(words))
-        ]
+            at = np.flatnonzero(rank == least)
+            # In a run such as aaa, every other pair from its left is joined.
+            fresh = np.diff(at, prepend=-2) != 1
+            offset = np.arange(len(at)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+            at = at[offset % 2 == 0]
+            symbol[at] = rank[at]
+            stay = np.ones(len(symbol), dtype=bool)
+            stay[at + 1] = False
+            symbol, word, rank = symbol[stay], word[stay], rank[stay]
+            at -= np.arange(len(at))  # one symbol fewer before each
+            touched = np.concatenate([at, at - 1])
+            touched = touched[touched >= 0]
+            rank[touched] = NONE
+            touched = touched[touched + 1 < len(word)]
+            touched = touched[word[touched] == word[touched + 1]]
+            rank[touched] = self._rank(symbol[touched], symbol[touched + 1])
+        word, symbol = (np.concatenate(x) for x in zip(*done)) if done else (np.zeros(0, int), np.zeros(0, int))
+        symbol = symbol[np.argsort(word, kind="stable")].tolist()
+        ends = np.cumsum(np.bincount(word, minlength=len(words))).tolist()
+        return [tuple(symbol[a:b]) for a, b in zip([0, *ends], ends)]
 
     def decode(self, ids: Iterator[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
+# What is known of a match or a chunk: its ids as text, and the bytes they decode to.
+Coded = tuple[str, bytes]
+
 _loaded: dict[tuple[str, str], tuple[MergeReplay, Memory]] = {}
 
 
@@ -144,56 +141,98 @@ def _encoder(path: str, pattern: str) -> tuple[MergeReplay, Memory]:
         replay = MergeReplay(read_ranks(path))
         split = regex.compile(pattern).findall
 
-        def encode(new: list[str]) -> list[tuple[tuple[int, ...], str]]:
-            matches = [split(chunk) for chunk in new]
-            distinct = list({match for found in matches for match in found})
-            ids = dict(zip(distinct, replay.encode([match.encode() for match in distinct]), strict=True))
-            coded = [tuple([i for m in found for i in ids[m]]) for found in matches]
-            return [(c, " ".join(map(str, c))) for c in coded]
+        def encode_matches(new: list[str]) -> list[Coded]:
+            found = replay.encode([match.encode() for match in new])
+            return [(" ".join(map(str, ids)), replay.decode(ids)) for ids in found]
+
+        matches = Memory(encode_matches)
+
+        def encode(new: list[str]) -> list[Coded]:
+            parts = [split(chunk) for chunk in new]
+            known = matches.look_up(parts)
+            out = []
+            for part in parts:
+                if len(part) == 1:
+                    out.append(known[part[0]])
+                    continue
+                texts, decoded = zip(*[known[m] for m in part]) if part else ((), ())
+                out.append((" ".join(texts), b"".join(decoded)))
+            return out
 
         _loaded[path, pattern] = replay, Memory(encode)
     return _loaded[path, pattern]
 
 
+def _ids(text: str) -> np.ndarray:
+    return np.fromstring(text, dtype=np.int32, sep=" ") if text else np.zeros(0, dtype=np.int32)
+
+
+def _look_up(parts: list[list[str]], memory: Memory) -> tuple[dict[str, str], dict[str, bytes]]:
+    """Ids as text and decoded bytes of every chunk of some texts."""
+    distinct = set().union(*parts)
+    known = memory.look_up([distinct])
+    texts, decoded = {}, {}
+    for chunk in distinct:
+        texts[chunk], decoded[chunk] = known[chunk]
+    return texts, decoded
+
+
 def encode_texts(texts: list[str | None], path: str, pattern: str) -> list[list[int]]:
     """Token ids of whole texts, for use inside tasks."""
     parts = [chunks(text or "") for text in texts]
-    known = _encoder(path, pattern)[1].look_up(parts)
-    return [[i for c in p for i in known[c][0]] for p in parts]
+    known, _ = _look_up(parts, _encoder(path, pattern)[1])
+    return [_ids(" ".join([known[c] for c in p])).tolist() for p in parts]
 
 
 def decode_ids(ids: list[int], path: str, pattern: str) -> bytes:
     return _encoder(path, pattern)[0].decode(iter(ids))
 
 
+def _pieces(column: pa.Array, rows: int = 500, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Ranges of a column of texts with at most so many rows and about so many bytes."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    total = np.concatenate([[0], np.cumsum(lengths)])
+    first = 0
+    while first < len(column):
+        after = int(np.searchsorted(total, total[first] + size, side="right")) - 1
+        after = min(max(after, first + 1), first + rows, len(column))
+        yield first, after - first
+        first = after
+
+
 def _runner(path: str, pattern: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay, memory = _encoder(path, pattern)
+        _, memory = _encoder(path, pattern)
         for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
+            for first, rows in _pieces(batch.column(1)):
+                part = batch.slice(first, rows)
                 parts = [chunks(text or "") for text in part.column(1).to_pylist()]
-                known = memory.look_up(parts)
+                known, read = _look_up(parts, memory)
                 counts, coded, decoded, kept = [], [], [], []
                 for p in parts:
-                    found = [known[c] for c in p]
-                    ids = [i for f in found for i in f[0]]
-                    counts.append(len(ids))
+                    # a chunk has at least one id, so no empty text is joined
+                    ids = " ".join(map(known.__getitem__, p))
+                    counts.append(ids.count(" ") + 1 if ids else 0)
+                    coded.append(hashlib.sha256(ids.encode()).hexdigest())
+                    decoded.append(hashlib.sha256(b"".join(map(read.__getitem__, p))).hexdigest())
                     if with_ids:
-                        kept.append(ids)
-                    text = " ".join([f[1] for f in found])
-                    coded.append(hashlib.sha256(text.encode()).hexdigest())
-                    decoded.append(hashlib.sha256(replay.decode(iter(ids))).hexdigest())
+                        kept.append(_ids(ids))
                 columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(coded), pa.array(decoded)]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    columns.append(pa.array(kept, pa.list_(pa.int32())))
+                    columns.append(_lists(kept))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    """Lists of ids without an object for each id."""
+    offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+
+
 def bpe_digests(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """Encode and decode every text: number of ids, digests of the ids and of the decoded bytes, and the ids if wanted."""
     rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
@@ -217,8 +256,8 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
+            for first, rows in _pieces(batch.column(1)):
+                part = batch.slice(first, rows)
                 ids = encode_texts(part.column(1).to_pylist(), path, pattern)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
