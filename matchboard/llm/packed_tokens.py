@@ -38,6 +38,7 @@ from matchboard.sources.staging import scratch_path
 BLOCK_IDS = 1 << 16
 END = 0
 LIMIT_CHUNKS = 300_000
+LIMIT_WORDS = 150_000
 LIMIT_MARKS = 10_000
 # perhaps a space, Latin letters (the same in every Unicode version), and ASCII marks
 _WORD = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\[-`{-~]*)").fullmatch
@@ -48,7 +49,8 @@ _OTHERS = iter(range(256, 512))
 _LETTERS = [chr(b if b in _PRINTABLE else next(_OTHERS)) for b in range(256)]
 
 FILE_SCHEMA = (
-    "run int, block int, first_id bigint, width int, n_ids bigint, doc_ids array<bigint>, starts array<bigint>, packed binary"
+    "run int, block int, first_id bigint, width int, n_ids bigint, first_doc bigint, last_doc bigint, "
+    "doc_ids array<bigint>, starts array<bigint>, packed binary"
 )
 ROW_SCHEMA = "run int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -100,38 +102,34 @@ def _tokenizer(path: str) -> tuple[Memory, int, re.Pattern | None]:
         special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
         word_ids = tokenizer.model.tokenize
-        words: dict[str, bytes] = {}
         marks: dict[str, bytes] = {"": b""}
 
         def whole(texts: list[str]) -> list[bytes]:
             found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [array("I", e.ids).tobytes() for e in found]
 
+        def encode_words(new: list[str]) -> list[bytes]:
+            out = []
+            for word in new:
+                letters = word.replace(" ", "Ġ") if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
+                out.append(array("I", [t.id for t in word_ids(letters)]).tobytes())
+            return out
+
+        words = Memory(encode_words, LIMIT_WORDS)
+
         def encode(new: list[str]) -> list[bytes]:
             """A word of letters and the marks after it are encoded apart, as the pattern cuts
-            between them; all other chunks go through the library as they are."""
-            out: list[bytes | None] = []
-            rest = []
-            words.clear()
+            between them, and each once; all other chunks go through the library as they are."""
             if len(marks) > LIMIT_MARKS:
                 marks.clear()
                 marks[""] = b""
-            for chunk in new:
-                cut = _WORD(chunk)
-                if cut is None:
-                    out.append(None)
-                    rest.append(chunk)
-                    continue
-                word, tail = cut.groups()
-                ids = words.get(word)
-                if ids is None:
-                    letters = word.replace(" ", "Ġ") if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
-                    ids = words[word] = array("I", [t.id for t in word_ids(letters)]).tobytes()
-                if tail not in marks:
-                    (marks[tail],) = whole([tail])
-                out.append(ids + marks[tail])
-            found = iter(whole(rest))
-            return [next(found) if ids is None else ids for ids in out]
+            cuts = [_WORD(chunk) for chunk in new]
+            parts = [cut.groups() if cut is not None else None for cut in cuts]
+            known = words.look_up([{part[0] for part in parts if part is not None}])
+            tails = list({part[1] for part in parts if part is not None} - marks.keys())
+            marks.update(zip(tails, whole(tails)))
+            rest = iter(whole([chunk for chunk, part in zip(new, parts) if part is None]))
+            return [next(rest) if part is None else known[part[0]] + marks[part[1]] for part in parts]
 
         _loaded[path] = Memory(encode, LIMIT_CHUNKS), tokenizer.get_vocab_size(with_added_tokens=True), special
     return _loaded[path]
@@ -150,8 +148,8 @@ def _chunks(text: str, special: re.Pattern | None) -> list[str]:
 def _encode(texts: list[str], path: str) -> list[bytes]:
     memory, _, special = _tokenizer(path)
     parts = [_chunks(t, special) for t in texts]
-    known = memory.look_up(parts)
-    return [b"".join([known[c] for c in p]) for p in parts]
+    known = memory.look_up([set().union(*parts)])
+    return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
 def _writer(path: str, end: int, block_ids: int):
@@ -173,6 +171,8 @@ def _writer(path: str, end: int, block_ids: int):
                 "first_id": [first_id],
                 "width": [width],
                 "n_ids": [len(values)],
+                "first_doc": [next((x for x in ids if x is not None), None)],
+                "last_doc": [ids[-1]],
                 "doc_ids": [list(ids)],
                 "starts": [(np.cumsum(counts) - counts).tolist()],
                 "packed": [pack(values, width)],
@@ -183,8 +183,8 @@ def _writer(path: str, end: int, block_ids: int):
             return pa.RecordBatch.from_pydict(row, schema=arrow)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc, coded in zip(part.column(0).to_pylist(), _encode(texts, path), strict=True):
                     ids.append(doc)
@@ -202,6 +202,8 @@ def _writer(path: str, end: int, block_ids: int):
             ("first_id", pa.int64()),
             ("width", pa.int32()),
             ("n_ids", pa.int64()),
+            ("first_doc", pa.int64()),
+            ("last_doc", pa.int64()),
             ("doc_ids", pa.list_(pa.int64())),
             ("starts", pa.list_(pa.int64())),
             ("packed", pa.binary()),
@@ -265,8 +267,11 @@ def _ids_of(wanted: int):
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
-    """Ids of one document: only the blocks that hold it are unpacked, and only its range."""
-    blocks = spark.read.parquet(path).where(F.array_contains("doc_ids", F.lit(doc_id).cast("bigint")))
+    """Ids of one document: the filter on first and last documents is pushed down, so only
+    blocks around it are read, only those that hold it are unpacked, and only its range."""
+    wanted = F.lit(doc_id).cast("bigint")
+    blocks = spark.read.parquet(path).where((F.col("first_doc") <= wanted) & (F.col("last_doc") >= wanted))
+    blocks = blocks.where(F.array_contains("doc_ids", wanted))
     return blocks.mapInArrow(_ids_of(doc_id), "ids array<bigint>")
 
 
