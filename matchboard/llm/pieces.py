@@ -60,16 +60,16 @@ class Memory[T]:
         if len(self.known) > self.limit:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        new: set[str | bytes] = set()
-        for parts in texts:
-            new.update(parts)
-        new -= known.keys()
+        # Looked up one by one: a set less the keys of a mapping would go through all keys.
+        new = [chunk for chunk in set().union(*texts) if chunk not in known]
         if not new:
             return known
-        again = new & older.keys()
-        for chunk in again:
-            known[chunk] = older[chunk]
-        fresh = list(new - again)
+        fresh = []
+        for chunk in new:
+            if chunk in older:
+                known[chunk] = older[chunk]
+            else:
+                fresh.append(chunk)
         found = dict(zip(fresh, self.encode(fresh), strict=True))
         long = {k for k in fresh if len(k) > LONG}
         if not long:
