@@ -3,12 +3,19 @@
 The standard library's parser streams events. Block tags cut the page into lines; each
 line has its characters and its tags, hence a text-to-tag ratio. The ratios are smoothed
 with a Gaussian over neighbouring lines, and lines above half a standard deviation over
-zero form clusters. The cluster with most text names the content region: the innermost
-element around it (the enclosing ``article`` or ``main`` if there is one). Every line of
-that region is kept but those inside boilerplate elements, so that short paragraphs stay.
+zero form clusters. All clusters together name the content region: the innermost element
+around them, or around those inside an ``article`` (else ``main``) if the cluster with most
+text is. Every line of the region is kept, so that tables, lists and short paragraphs
+between clusters stay; where the region is the whole page, lines before the first and after
+the last cluster go.
 
-Boilerplate is decided by element (``nav``, ``header``, ``footer``, ``aside``, ``form``,
-``script``, ...) or by a word of its class, id or role (``ad``, ``cookie``, ``comments``, ...).
+Elements that never hold the article (``nav``, ``footer``, ``aside``, ``form``, ``script``,
+...; ``header`` outside an article) are left out of lines. So are elements whose class, id or
+role names are such a word as a whole (``ad``, ``comments``); a word that is only part of a
+name (``cookie-notice``, ``related-work``) counts outside ``article`` and ``main`` alone.
+
+Time and memory are linear in the page: elements know their parent only, and the innermost
+common element comes from counts of lines passed up once.
 
 Defined results: null or empty html, and pages without text, give an empty text with
 ``n_chars`` 0; unclosed or stray tags never fail; null ids stay; equal rows give equal
@@ -18,6 +25,7 @@ rows; other columns are ignored. Whole pages are parsed, of any length.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -44,12 +52,12 @@ HINTS = frozenset(
     "social sponsor sponsored subscribe toolbar widget".split()
 )
 CLOSES_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "option"}
-REGION = frozenset(("article", "main"))
+REGION = ("article", "main")  # the narrower first
 
 _SIGMA = 1.0
 _KERNEL = np.exp(-0.5 * (np.arange(-3, 4) / _SIGMA) ** 2)
 _KERNEL /= _KERNEL.sum()
-_TOKENS = re.compile(r"[A-Za-z0-9]+")
+_TOKENS = re.compile(r"[a-z0-9]+")
 
 
 class _Lines(HTMLParser):
@@ -57,7 +65,9 @@ class _Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, number, inside boilerplate
+        # tag, number, inside boilerplate, inside an article or main
+        self.open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        self.opened: Counter[str] = Counter()  # open elements by tag
         self.parent: list[int] = [0]
         self.name: list[str] = [""]
         self.text: list[str] = []
@@ -73,24 +83,28 @@ class _Lines(HTMLParser):
                 self.tags = 0
 
     def push(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        out = self.open[-1][2] or tag in BOILERPLATE
+        _, above, out, inside = self.open[-1]
+        inside = inside or tag in REGION
+        out = out or (tag in BOILERPLATE and not (tag == "header" and inside))
         if not out and tag not in ("html", "body"):
-            for key, value in attrs:
-                if key in ("class", "id", "role") and value:
-                    if not HINTS.isdisjoint(_TOKENS.findall(value.lower())):
-                        out = True
-                elif key == "hidden":
-                    out = True
-        self.parent.append(self.open[-1][1])
+            out = any(key == "hidden" or (key in ("class", "id", "role") and value and _hinted(value, inside)) for key, value in attrs)
+        self.parent.append(above)
         self.name.append(tag)
-        self.open.append((tag, len(self.parent) - 1, out))
+        self.open.append((tag, len(self.parent) - 1, out, inside))
+        self.opened[tag] += 1
+
+    def close_from(self, k: int) -> None:
+        """Close the element at place ``k`` of those open, and what is open inside it."""
+        self.opened.subtract(entry[0] for entry in self.open[k:])
+        del self.open[k:]
 
     def close_to(self, tag: str) -> None:
-        """Close the innermost open ``tag``, and what is open inside it."""
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                return
+        """Close the innermost open ``tag``; one that is not open is passed over."""
+        if self.opened[tag] > 0:
+            k = len(self.open) - 1
+            while self.open[k][0] != tag:
+                k -= 1
+            self.close_from(k)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK or tag in BOILERPLATE:
@@ -100,11 +114,11 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and (self.opened["p"] > 0 or (tag == "li" and self.opened["li"] > 0)):
             for k in range(len(self.open) - 1, 0, -1):
                 name = self.open[k][0]
                 if name == "p" or name == "li" == tag:
-                    del self.open[k:]
+                    self.close_from(k)
                     break
                 if name in BLOCK:
                     break
@@ -125,47 +139,56 @@ class _Lines(HTMLParser):
             self.text.append(data)
 
 
-def _region(parser: _Lines) -> set[int]:
-    """Elements inside the content region."""
-    lines = parser.lines
-    ratio = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
+def _hinted(value: str, inside: bool) -> bool:
+    """Whether a class, id or role names what is no content; see the module."""
+    names = value.lower().split()
+    if not HINTS.isdisjoint(names):
+        return True
+    return not inside and not HINTS.isdisjoint(_TOKENS.findall(value.lower()))
+
+
+def high_lines(parser: _Lines) -> np.ndarray:
+    """True for lines whose smoothed ratio is over the threshold."""
+    ratio = np.array([len(text) / max(1, tags) for text, tags, _ in parser.lines])
     smooth = np.convolve(np.pad(ratio, 3), _KERNEL, mode="valid")
-    high = smooth >= min(0.5 * smooth.std(), smooth.max())
-    best, run, at = 0, 0, 0
-    cluster = (0, len(lines))
-    for k in range(len(lines) + 1):
-        if k < len(lines) and high[k]:
-            run += len(lines[k][0])
-            continue
-        if run > best:
-            best, cluster = run, (at, k)
-        run, at = 0, k + 1
-
-    def path(element: int) -> list[int]:
-        up = [element]
-        while element:
-            element = parser.parent[element]
-            up.append(element)
-        return up[::-1]
-
-    paths = [path(element) for _, _, element in lines[cluster[0] : cluster[1]]]
-    shared = paths[0]
-    for other in paths[1:]:
-        same = 0
-        while same < min(len(shared), len(other)) and shared[same] == other[same]:
-            same += 1
-        shared = shared[:same]
-    while len(shared) > 1 and parser.name[shared[-1]] not in REGION and any(parser.name[e] in REGION for e in shared):
-        shared = shared[:-1]
-    while len(shared) > 1 and parser.name[shared[-1]] not in ("article", "main", "body", "div", "section", "td"):
-        shared = shared[:-1]
-    top = shared[-1]
-    inside, known = {top}, {0: top == 0}
-    for element in range(1, len(parser.parent)):
-        known[element] = element == top or known[parser.parent[element]]
-        if known[element]:
-            inside.add(element)
-    return inside
+    return smooth >= min(0.5 * smooth.std(), smooth.max())
+
+
+def _kept(parser: _Lines, high: np.ndarray) -> list[int]:
+    """Places of the lines of the content region."""
+    lines, parent, name = parser.lines, parser.parent, parser.name
+    best, run, longest = 0, 0, 0
+    for k, (text, _, _) in enumerate(lines):
+        run = run + len(text) if high[k] else 0
+        if run > longest:
+            best, longest = k, run
+    # Elements are numbered as they open, so parents come first.
+    around: dict[str, list[bool]] = {tag: [False] * len(parent) for tag in REGION}
+    for tag, held in around.items():
+        for element in range(1, len(parent)):
+            held[element] = name[element] == tag or held[parent[element]]
+    scope = next((around[tag] for tag in REGION if around[tag][lines[best][2]]), None)
+    marked = [element for k, (_, _, element) in enumerate(lines) if high[k] and (scope is None or scope[element])]
+    below = [0] * len(parent)
+    for element in marked:
+        below[element] += 1
+    for element in range(len(parent) - 1, 0, -1):
+        below[parent[element]] += below[element]
+    # Of elements around all marked lines, which lie inside one another, the innermost.
+    top = max(element for element in range(len(parent)) if below[element] == len(marked))
+    wanted = ("article", "main") if scope is not None and scope[top] else ("article", "main", "body", "div", "section", "td")
+    while top and name[top] not in wanted:
+        top = parent[top]
+    inside = [False] * len(parent)
+    inside[top] = True
+    for element in range(top + 1, len(parent)):
+        inside[element] = inside[parent[element]]
+    if top == 0 or name[top] == "body":
+        ends = np.flatnonzero(high)
+        first, last = int(ends[0]), int(ends[-1])
+    else:
+        first, last = 0, len(lines) - 1
+    return [k for k in range(first, last + 1) if inside[lines[k][2]]]
 
 
 def main_text(html: str | None) -> str:
@@ -178,8 +201,7 @@ def main_text(html: str | None) -> str:
     parser.cut()
     if not parser.lines:
         return ""
-    inside = _region(parser)
-    return "\n\n".join(text for text, _, element in parser.lines if element in inside)
+    return "\n\n".join(parser.lines[k][0] for k in _kept(parser, high_lines(parser)))
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import random
+import time
 import re
 import zlib
 
@@ -105,6 +106,61 @@ def test_main_text():
     assert html_text.main_text("<body><p>" + "word " * 50_000 + "<p>x") == ("word " * 50_000).strip() + "\n\nx"
 
 
+def _sentences(name, count):
+    return [f"{name} sentence {k} says enough to be taken for the text of a page by its ratio." for k in range(count)]
+
+
+def _paragraphs(lines):
+    return "".join(f"<p>{line}</p>" for line in lines)
+
+
+@pytest.mark.parametrize("tag", ["div", "section", "article"])
+def test_main_text_of_siblings_around_a_table(tag):
+    """All clusters count, and what lies between them; links before and after do not."""
+    one, two = _sentences("first", 8), _sentences("second", 7)
+    cells = [f"r{k}" for k in range(10)]
+    table = "<table>" + "".join(f"<tr><td>{c}</td></tr>" for c in cells) + "</table>"
+    links = "".join(f'<div><a href="{k}">l{k}</a></div>' for k in range(12))
+    html = f"<body>{links}<{tag}>{_paragraphs(one)}</{tag}>{table}<{tag}>{_paragraphs(two)}</{tag}>{links}</body>"
+    kept = html_text.main_text(html).split("\n\n")
+    assert [x for x in kept if not x.startswith("l")] == [*one, *cells, *two]
+    assert len([x for x in kept if x.startswith("l")]) <= 6  # those the smoothing reaches
+
+
+def test_main_text_without_an_article_depends_on_the_ratios():
+    text = _sentences("only", 6)
+    menu = "".join(f'<div><a href="x">go {k}</a></div>' for k in range(30))
+    html = f"<body>{menu}<div><h2>Title</h2>{_paragraphs(text)}</div>{menu}</body>"
+    kept = html_text.main_text(html).split("\n\n")
+    assert [x for x in kept if not x.startswith("go")] == ["Title", *text]
+    assert len([x for x in kept if x.startswith("go")]) <= 6  # of 60
+    # the article with little text gives way to the region with more
+    html = f"<body><article><p>go</p></article><div>{_paragraphs(text)}</div></body>"
+    assert all(line in html_text.main_text(html) for line in text)
+
+
+def test_class_words_do_not_judge_inside_an_article():
+    text = _sentences("some", 3)
+    html = (
+        f'<body><article><header><h1>Head</h1></header><div class="article-header">{_paragraphs(text[:1])}</div>'
+        f'<div class="related-work">{_paragraphs(text[1:2])}</div>{_paragraphs(text[2:])}'
+        f'<div class="comments">{_paragraphs(_sentences("reader", 3))}</div></article>'
+        f'<div class="cookie-notice">{_paragraphs(_sentences("cookie", 5))}</div></body>'
+    )
+    assert html_text.main_text(html) == "\n\n".join(["Head", *text])
+
+
+def test_unclosed_tags_take_linear_time():
+    def seconds(count):
+        html = "".join(f"<div><b>text {k} " for k in range(count)) + "</i>" * count
+        start = time.perf_counter()
+        assert html_text.main_text(html).count("\n\n") == count - 1
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(48_000) < 20 * max(seconds(6000), 0.05)  # a page of about 1 MB
+
+
 def test_pages(spark):
     data = [(1, "u", PAGE), (None, None, None), (1, "u", PAGE), (2, "v", "")]
     pages = spark.createDataFrame(data, "page_id bigint, url string, html string").selectExpr("*", "'x' text", "1 n_chars")
