@@ -5,8 +5,9 @@ end, with the bounds between them. Slices hold about ``SLICE`` bytes (one docume
 least), so the memory of a task follows that bound or the longest single document, not
 the Arrow batch.
 
-Strings are compared by 64-bit polynomial hashes modulo 2**64 over random byte values.
-Where equality matters beyond one document, callers combine two independent hashes.
+Strings are compared by 64-bit polynomial hashes modulo 2**64 over random byte values. Such
+hashes can be forced to collide by strings made for it (Thue-Morse sequences of 1,024 symbols
+and more); minimizer and content hashes, which callers combine, share that weakness.
 """
 
 from __future__ import annotations

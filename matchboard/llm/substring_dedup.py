@@ -1,17 +1,17 @@
 """Removal of long word sequences met in an earlier document (operator 8).
 
 A window of ``width`` words is an edge of the de Bruijn graph of the corpus. Consecutive
-edges with one minimizer form a piece, and pieces of equal content are one nonbranching
-path: they are compacted to one row by Spark joins on minimizer and content
-(``shared_windows``). Where paths with one minimizer differ, the graph branches; one copy
-of each is fetched by its source coordinates and opened into edges, which are compared
-one by one. Each word covered by an edge that also starts in a document with a smaller
+edges of a document with one minimizer form a piece, which stands for a path; pieces of equal
+content are brought to one row by joins on minimizer and content (``shared_windows``). Degrees
+are not counted and paths are not contracted edge by edge. Where pieces with one minimizer
+differ, one copy of each is fetched by its source coordinates and opened into edges, which are
+compared by hash. Each word covered by an edge that also starts in a document with a smaller
 doc_id is removed.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``; a null or empty text, or one with fewer
 words than a window, loses nothing; rows with one doc_id never remove each other; a null
-doc_id is after all others; other columns are ignored by ``earlier_digests`` and kept by
-``remove_earlier``.
+doc_id is after all others; other columns are ignored, and ``remove_earlier`` returns doc_id
+and text, a null text as an empty one.
 """
 
 from __future__ import annotations
