@@ -5,9 +5,9 @@ end, with the bounds between them. Slices hold about ``SLICE`` bytes (one docume
 least), so the memory of a task follows that bound or the longest single document, not
 the Arrow batch.
 
-Strings are compared by 64-bit polynomial hashes modulo 2**64 over random byte values. Such
-hashes can be forced to collide by strings made for it (Thue-Morse sequences of 1,024 symbols
-and more); minimizer and content hashes, which callers combine, share that weakness.
+Strings are compared by two polynomial hashes modulo the prime 2**31 - 1, with bases of their
+own over random symbol values, 62 bits together. Modulo a prime no sequence collides
+for every base, as Thue-Morse sequences do modulo 2**64.
 """
 
 from __future__ import annotations
@@ -21,10 +21,11 @@ import pyarrow.compute as pc
 SLICE = 1 << 20
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_PRIME = U((1 << 31) - 1)
+_BASES = (1_390_204_517, 822_731_639)
 _VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=U) | U(1)
 _powers: dict[int, np.ndarray] = {}
+_SIGN = U(1 << 62)  # set in every hash, so that none is zero
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -32,14 +33,24 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Values below 2**63 modulo the prime, in place."""
+    for _ in range(2):
+        high = x >> U(31)
+        x &= _PRIME
+        x += high
+    return np.minimum(x, x - _PRIME, out=x)  # the difference wraps round where x is the less
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1), kept and grown between calls."""
+    """base**0 .. base**(n-1) modulo the prime, kept and grown between calls."""
     have = _powers.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, 2 * SLICE), base, dtype=U)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        _powers[base] = have
+    if have is None:
+        have = np.ones(1, dtype=np.uint32)
+    while len(have) < max(n, 2 * SLICE):
+        step = U(pow(base, len(have), int(_PRIME)))
+        have = np.concatenate((have, _reduced(have.astype(U) * step).astype(np.uint32)))
+    _powers[base] = have
     return have[:n]
 
 
@@ -51,21 +62,33 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Prefix:
-    """Hashes of any range of a sequence of 64-bit symbols, from one prefix sum."""
+    """Hashes of any range of a sequence of 64-bit symbols, from prefix sums."""
 
     def __init__(self, symbols: np.ndarray):
-        n = len(symbols)
-        self.sums = np.zeros(n + 1, dtype=U)
-        np.cumsum(symbols * powers(_BASE, n), out=self.sums[1:])
-        self.back = powers(_INVERSE, n + 1)
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.back[start])
+        n = self.n = len(symbols)
+        self.lanes: list[tuple[np.ndarray, np.ndarray]] = []
+        for base, values in zip(_BASES, (symbols & _PRIME, symbols >> U(33))):
+            values *= powers(base, n)
+            sums = np.zeros(n + 1, dtype=np.uint32)
+            sums[1:] = _reduced(np.cumsum(_reduced(values), out=values))
+            self.lanes.append((sums, powers(pow(base, -1, int(_PRIME)), n + 1)))
+
+    def of(self, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
+        hashes: list[np.ndarray] = []
+        for sums, back in self.lanes:
+            value = sums[end].astype(U)
+            value += _PRIME
+            value -= sums[start]
+            value *= back[start]
+            hashes.append(_reduced(value))
+        first, second = hashes
+        first <<= U(31)
+        first |= second
+        return mix(first | _SIGN)
 
     def all(self, width: int) -> np.ndarray:
         """Hash of the range of that width from every position where it fits."""
-        n = len(self.sums) - width
-        return mix((self.sums[width:] - self.sums[:n]) * self.back[:n])
+        return self.of(slice(0, self.n + 1 - width), slice(width, None))
 
 
 def byte_symbols(data: np.ndarray) -> np.ndarray:

@@ -41,10 +41,12 @@ from pyspark.sql import functions as F
 from matchboard.llm import kernel
 from matchboard.llm.components import components
 from matchboard.llm.shared_windows import pack_text, packed_texts, unpack_text, unpacked
+from matchboard.llm.skew import join_split
 from matchboard.sources.staging import stage
 
 BLOCK = 512
-_KEPT = "__near_kept"  # helper column beside a caller's own
+# helper columns beside a caller's own
+_NODE, _OWNER, _FIRST = "__near_node", "__near_owner", "__near_first"
 
 
 @dataclass(frozen=True)
@@ -289,7 +291,7 @@ def _units_of(entries: DataFrame) -> DataFrame:
     """Blocks and unit of work of every list entry; lists of one set are dropped."""
     sizes = entries.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = entries.join(sizes, "value").withColumn("parts", parts)
+    dealt = join_split(entries, sizes, ["value"]).withColumn("parts", parts)
     dealt = dealt.withColumn("block", F.pmod(F.hash("doc_id", "n"), F.col("parts")))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return dealt.select(
@@ -311,12 +313,12 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     classes = sketched.where("n > 0 and doc_id is not null").groupBy(identity).agg(F.min("doc_id").alias("least"))
     own = F.when(F.col("doc_id") == F.col("least"), F.col("sketch"))
     members = stage(
-        sketched.join(classes, identity, "left").select("doc_id", "n", "least", own.alias("sketch")), "sketches"
+        join_split(sketched, classes, identity, "left").select("doc_id", "n", "least", own.alias("sketch")), "sketches"
     )
     sets = members.where("sketch is not null").select("doc_id", "n", "sketch")
     retained = sets.select("doc_id", "n", F.explode("sketch").alias("value"))
     shared = retained.groupBy("value").agg(F.count("*").alias("sets")).where("sets > 1")
-    lists = retained.join(shared, "value").groupBy("doc_id", "n").agg(
+    lists = join_split(retained, shared, ["value"]).groupBy("doc_id", "n").agg(
         F.array_sort(F.collect_set(F.struct("sets", "value"))).alias("common")
     )
     # values of this set alone come first in the order; what is left of the prefix goes to lists
@@ -337,7 +339,7 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     again = full.repartition(*UNIT).sortWithinPartitions(*UNIT, "doc_id", "n")
     links = again.mapInArrow(_linked(how), "a bigint, b bigint")
     several = members.where("least is not null").groupBy("doc_id").agg(F.min("least").alias("b"), F.max("least").alias("most"))
-    same_id = members.join(several.where("b <> most"), "doc_id").select(F.col("least").alias("a"), "b")
+    same_id = join_split(members, several.where("b <> most"), ["doc_id"]).select(F.col("least").alias("a"), "b")
     found = components(links.unionByName(same_id))
     labelled = members.join(found.withColumnRenamed("node", "least"), "least", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "least", "doc_id"))
@@ -349,21 +351,41 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     )
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each different row of doc_id and text, null for a null doc_id.
+
+    It is the doc_id, but for further texts of one doc_id, which get numbers from 2**62 on by a
+    hash of both, so that they come after the first text of every other document.
+    """
+    doc, text = F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text").cast("string"), F.isnull("text"))
+    hashed = docs.select(doc.alias(_OWNER), text.alias("text")).where(F.col(_OWNER).isNotNull())
+    texts = hashed.groupBy(_OWNER).agg(F.min("text").alias(_FIRST), F.max("text").alias("most"))
+    # staged, so that its size is known to the join; as a rule it is empty
+    several = stage(texts.where(F.col(_FIRST) != F.col("most")).select(_OWNER, _FIRST), "shared-ids")
+    rows = join_split(docs.withColumn(_OWNER, doc), several, [_OWNER], "left")
+    further = F.lit(1 << 62).bitwiseOR(F.xxhash64(F.col(_OWNER), text).bitwiseAND(F.lit((1 << 62) - 1)))
+    number = F.when(F.col(_FIRST).isNull() | (text == F.col(_FIRST)), F.col(_OWNER)).otherwise(further)
+    return rows.select(*docs.columns, number.alias(_NODE))
+
+
 def drop_near_duplicates(docs: DataFrame, how: Similarity = Similarity(), *more: Similarity) -> DataFrame:
     """The rows of ``docs`` that are the least of their component, with all their columns.
 
-    With several rules, documents linked by any of them are in one component. Of rows that
-    share a kept doc_id one stays; rows with a null doc_id all stay.
+    With several rules, documents linked by any of them are in one component. Rows that share a
+    doc_id are documents of their own unless their texts are equal: of those with both equal
+    one stays. Rows with a null doc_id all stay.
     """
-    found = near_duplicates(docs, how)
+    numbered = _numbered(docs)
+    nodes = numbered.select(F.col(_NODE).alias("doc_id"), "text")
+    found = near_duplicates(nodes, how)
     if more:
         found = stage(found, "near")
         links = found.selectExpr("doc_id a", "component_id b")
         for other in more:
-            links = links.unionByName(near_duplicates(docs, other).selectExpr("doc_id a", "component_id b"))
+            links = links.unionByName(near_duplicates(nodes, other).selectExpr("doc_id a", "component_id b"))
         joined = components(links).where("node <> component").select(F.col("node").alias("doc_id"))
         found = found.join(joined, "doc_id", "left_anti")
-    kept = found.where("kept and doc_id is not null").select(F.col("doc_id").alias(_KEPT)).distinct()
-    known = pack_text(docs.where("doc_id is not null"))
-    one = known.join(kept, known.doc_id.cast("bigint") == kept[_KEPT], "left_semi").dropDuplicates(["doc_id"])
+    kept = found.where("kept and doc_id is not null").select(F.col("doc_id").alias(_NODE)).distinct()
+    known = pack_text(numbered.where(F.col(_NODE).isNotNull()))
+    one = join_split(known, kept, [_NODE], "left_semi").dropDuplicates([_NODE]).drop(_NODE)
     return unpack_text(one).unionByName(docs.where("doc_id is null"))

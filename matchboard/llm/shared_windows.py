@@ -17,8 +17,9 @@ row. The text is never shuffled window by window. Instead:
 4. Removed windows go back by content to all places of their pieces, and by document to
    the texts.
 
-The repeated joins carry hashes and positions; texts move twice, compressed. Minimizer
-and content hash are independent 64-bit values, so contents are told apart by 128 bits.
+The repeated joins carry hashes and positions; texts move twice, compressed. Contents of one
+minimizer are told apart by the 62 bits of their hash (``kernel.Prefix``). Joins with counts by
+minimizer or content leave a hot key of the pieces splittable (``skew``).
 
 Row identity is doc_id and a hash of the text, compared null-safely, so that repeated
 doc_ids are documents of their own.
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from matchboard.llm import kernel
+from matchboard.llm.skew import join_split
 from matchboard.sources.staging import stage
 
 HOT = 2000  # different contents of one minimizer that one task resolves together
@@ -325,7 +327,7 @@ def removed_windows(docs: DataFrame, kind: Windows, resolve: Resolve, earlier: b
         .where("times > 1 or inner")
         .select("minimizer", (F.expr("one <> other or inner")).alias("branches"))
     )
-    met = stage(pieces.drop("inner").join(shared, "minimizer"), "pieces")
+    met = stage(join_split(pieces.drop("inner"), shared, ["minimizer"]), "pieces")
     rank = F.coalesce("doc_id", F.lit(NO_ID))
     source = F.struct(rank.alias("rank"), "text_hash", "at", "doc_id", "n")
     contents = met.groupBy("minimizer", "content", "branches").agg(
@@ -333,7 +335,7 @@ def removed_windows(docs: DataFrame, kind: Windows, resolve: Resolve, earlier: b
     )
     # a whole piece is removed if it is met again; what stays open are single contents of branching minimizers
     sizes = contents.where("branches").groupBy("minimizer").agg(F.count("*").alias("contents"))
-    open_ = contents.where("branches").join(sizes, "minimizer")
+    open_ = join_split(contents.where("branches"), sizes, ["minimizer"])
     wanted = open_.groupBy(F.col("source.doc_id").alias("doc_id"), F.col("source.text_hash").alias("text_hash")).agg(
         F.collect_list(
             F.struct("source.at", "source.n", "minimizer", "content", "first", "times", "contents")
@@ -349,7 +351,7 @@ def removed_windows(docs: DataFrame, kind: Windows, resolve: Resolve, earlier: b
     whole = F.col("first") < rank if earlier else F.col("times") > 1
     # equal contents of one minimizer meet in a partial aggregate, so this side has one row for each
     judged = contents.select("minimizer", "content", "first", "times").join(runs, ["minimizer", "content"], "left")
-    spans = met.select("doc_id", "text_hash", "at", "n", "minimizer", "content").join(judged, ["minimizer", "content"])
+    spans = join_split(met.select("doc_id", "text_hash", "at", "n", "minimizer", "content"), judged, ["minimizer", "content"])
     spans = spans.select(
         "doc_id",
         "text_hash",
@@ -366,7 +368,7 @@ def _resolve_rows(fetched: DataFrame, kind: Windows, earlier: bool) -> DataFrame
     """The same as ``resolve``, with windows spread over the cluster by their hash."""
     rows = fetched.mapInArrow(_opened(kind), OPENED)
     found = rows.groupBy("minimizer", "window").agg(F.min("first").alias("least"), F.sum("times").alias("met"))
-    joined = rows.join(found, ["minimizer", "window"])
+    joined = join_split(rows, found, ["minimizer", "window"])
     removed = joined.where(F.col("least") < F.col("first") if earlier else F.col("met") > F.lit(1))
     # offsets of one content: at most its own windows
     return removed.groupBy("minimizer", "content").agg(

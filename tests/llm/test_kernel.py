@@ -77,3 +77,20 @@ def test_sliding_min_and_covered():
         expected = [min(values[i : i + width]) for i in range(len(values) - width + 1)]
         assert kernel.sliding_min(values, width).tolist() == expected
     assert kernel.covered(np.array([1, 2, 5]), np.array([3, 4, 6]), 7).tolist() == [False, True, True, True, False, True, False]
+
+
+def test_hashes_of_ranges():
+    """Equal ranges have one hash wherever they are, different ones another, also Thue-Morse strings."""
+    data = np.random.default_rng(3).integers(0, 3, 4000).astype(np.uint8)
+    prefix, seen = kernel.Prefix(kernel.byte_symbols(data)), {}
+    for at, value in enumerate(prefix.all(5).tolist()):
+        assert seen.setdefault(bytes(data[at : at + 5]), value) == value
+    assert len(set(seen.values())) == len(seen)
+    at = np.arange(3000)
+    assert (prefix.of(at, at + 5) == prefix.all(5)[:3000]).all()
+    bits = np.array([k.bit_count() & 1 for k in range(1 << 16)], dtype=np.uint8)
+    both = kernel.Prefix(kernel.byte_symbols(np.concatenate((bits, 1 - bits))))
+    for level in range(4, 17):
+        low, high = both.of(np.array([0, 1 << 16]), np.array([0, 1 << 16]) + (1 << level))
+        assert low != high
+    assert len(kernel.Prefix(np.zeros(0, np.uint64)).of(at[:1], at[:1])) == 1
