@@ -33,12 +33,17 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Less values that are equal modulo the prime, in place."""
+    high = x >> U(31)
+    x &= _PRIME
+    x += high
+    return x
+
+
 def _reduced(x: np.ndarray) -> np.ndarray:
-    """Values below 2**63 modulo the prime, in place."""
-    for _ in range(2):
-        high = x >> U(31)
-        x &= _PRIME
-        x += high
+    """Values modulo the prime, in place."""
+    x = _folded(_folded(x))
     return np.minimum(x, x - _PRIME, out=x)  # the difference wraps round where x is the less
 
 
@@ -62,23 +67,21 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Prefix:
-    """Hashes of any range of a sequence of 64-bit symbols, from prefix sums."""
+    """Hashes of any range of a sequence of fewer than 2**31 64-bit symbols, from prefix sums."""
 
     def __init__(self, symbols: np.ndarray):
         n = self.n = len(symbols)
         self.lanes: list[tuple[np.ndarray, np.ndarray]] = []
         for base, values in zip(_BASES, (symbols & _PRIME, symbols >> U(33))):
             values *= powers(base, n)
-            sums = np.zeros(n + 1, dtype=np.uint32)
-            sums[1:] = _reduced(np.cumsum(_reduced(values), out=values))
+            sums = np.zeros(n + 1, dtype=U)
+            np.cumsum(_folded(values), out=sums[1:])  # terms below 2**32, so sums below 2**63
             self.lanes.append((sums, powers(pow(base, -1, int(_PRIME)), n + 1)))
 
     def of(self, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
         hashes: list[np.ndarray] = []
         for sums, back in self.lanes:
-            value = sums[end].astype(U)
-            value += _PRIME
-            value -= sums[start]
+            value = _folded(sums[end] - sums[start])
             value *= back[start]
             hashes.append(_reduced(value))
         first, second = hashes
@@ -91,6 +94,35 @@ class Prefix:
         return self.of(slice(0, self.n + 1 - width), slice(width, None))
 
 
+_GRAM_BASE = 0x9E3779B97F4A7C15
+_gram_powers: dict[int, np.ndarray] = {}
+
+
+def _wrapping(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64, kept and grown between calls."""
+    have = _gram_powers.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(n, 2 * SLICE), base, dtype=U)
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        _gram_powers[base] = have
+    return have[:n]
+
+
+def gram_hashes(symbols: np.ndarray, width: int) -> np.ndarray:
+    """Cheap hashes modulo 2**64 of all ranges of a width, to choose minimizers by.
+
+    Equal ranges have equal hashes. Different ones may be made to collide, so equality of
+    text is never concluded from them.
+    """
+    n = len(symbols)
+    sums = np.zeros(n + 1, dtype=U)
+    np.cumsum(symbols * _wrapping(_GRAM_BASE, n), out=sums[1:])
+    values = sums[width:] - sums[: n + 1 - width]
+    values *= _wrapping(pow(_GRAM_BASE, -1, 1 << 64), n + 1)[: n + 1 - width]
+    return mix(values)
+
+
 def byte_symbols(data: np.ndarray) -> np.ndarray:
     return _VALUES[data]
 

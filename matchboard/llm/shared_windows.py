@@ -72,7 +72,7 @@ def cut_pieces(kind: Windows, symbols: np.ndarray, bounds: np.ndarray) -> tuple[
     if n <= 0:
         return tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64, bool))
     prefix = kernel.Prefix(symbols)
-    grams, span = prefix.all(kind.gram), kind.width - kind.gram + 1
+    grams, span = kernel.gram_hashes(symbols, kind.gram), kind.width - kind.gram + 1
     least = kernel.sliding_min(grams, span)
     fits = np.diff(bounds) >= kind.width
     valid = kernel.covered(bounds[:-1][fits], bounds[1:][fits] - kind.width + 1, len(symbols))[:n]

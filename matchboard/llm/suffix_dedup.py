@@ -114,8 +114,8 @@ def _resolver(width: int):
         room = np.zeros(len(text), dtype=np.int64)
         room[at] = bounds[1:][owner] - np.arange(len(data))
         order = order[room[order] >= width]
-        prefix = kernel.Prefix(kernel.mix(text.astype(np.uint64)))
-        head = prefix.of(order, order + width)
+        symbols = kernel.mix(text.astype(np.uint64))
+        head = kernel.Prefix(symbols).all(width)[order] if len(order) else np.zeros(0, np.uint64)
         same = head[1:] == head[:-1]
         repeated = np.zeros(len(text), dtype=bool)
         repeated[order[1:][same]] = True
