@@ -44,6 +44,8 @@ from matchboard.sources.staging import stage
 HOT = 2000  # different contents of one minimizer that one task resolves together
 GROUP_BYTES = 1 << 19  # content that a task resolves at once, whole minimizers
 
+CUT_BYTES = 1 << 16  # text that is cut into pieces at once, whole documents; its arrays fit a core's cache
+
 NO_ID = (1 << 63) - 1  # stands for a null doc_id, after all others
 
 PIECE = "doc_id bigint, text_hash int, at int, n int, minimizer bigint, content bigint, inner boolean"
@@ -105,7 +107,7 @@ def _pieces(kind: Windows):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, after, data, bounds in kernel.slices(batch.column(2)):
+            for first, after, data, bounds in kernel.slices(batch.column(2), CUT_BYTES):
                 doc, at, n, minimizer, content, inner = cut_pieces(kind, *kind.symbols(data, bounds))
                 ids = batch.column(0)[first:after].take(pa.array(doc))
                 hashes = batch.column(1)[first:after].take(pa.array(doc))
