@@ -38,7 +38,6 @@ from matchboard.sources.staging import scratch_path
 BLOCK_IDS = 1 << 16
 END = 0
 LIMIT_CHUNKS = 300_000
-LIMIT_WORDS = 150_000
 LIMIT_MARKS = 10_000
 # perhaps a space, Latin letters (the same in every Unicode version), and ASCII marks
 _WORD = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\[-`{-~]*)").fullmatch
@@ -46,7 +45,7 @@ _WORD = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-
 # how byte-level vocabularies write bytes: printable ones as themselves, the others from U+0100 on
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _OTHERS = iter(range(256, 512))
-_LETTERS = [chr(b if b in _PRINTABLE else next(_OTHERS)) for b in range(256)]
+_LETTERS = {b: chr(b if b in _PRINTABLE else next(_OTHERS)) for b in range(256)}
 
 FILE_SCHEMA = (
     "run int, block int, first_id bigint, width int, n_ids bigint, first_doc bigint, last_doc bigint, "
@@ -108,28 +107,26 @@ def _tokenizer(path: str) -> tuple[Memory, int, re.Pattern | None]:
             found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [array("I", e.ids).tobytes() for e in found]
 
-        def encode_words(new: list[str]) -> list[bytes]:
-            out = []
-            for word in new:
-                letters = word.replace(" ", "Ġ") if word.isascii() else "".join([_LETTERS[b] for b in word.encode()])
-                out.append(array("I", [t.id for t in word_ids(letters)]).tobytes())
-            return out
-
-        words = Memory(encode_words, LIMIT_WORDS)
-
         def encode(new: list[str]) -> list[bytes]:
             """A word of letters and the marks after it are encoded apart, as the pattern cuts
-            between them, and each once; all other chunks go through the library as they are."""
+            between them; all other chunks go through the library as they are. Words are not
+            remembered beside the chunks: few come back with other marks."""
             if len(marks) > LIMIT_MARKS:
                 marks.clear()
                 marks[""] = b""
             cuts = [_WORD(chunk) for chunk in new]
-            parts = [cut.groups() if cut is not None else None for cut in cuts]
-            known = words.look_up([{part[0] for part in parts if part is not None}])
-            tails = list({part[1] for part in parts if part is not None} - marks.keys())
+            tails = list({cut[2] for cut in cuts if cut is not None} - marks.keys())
             marks.update(zip(tails, whole(tails)))
-            rest = iter(whole([chunk for chunk, part in zip(new, parts) if part is None]))
-            return [next(rest) if part is None else known[part[0]] + marks[part[1]] for part in parts]
+            rest = iter(whole([chunk for chunk, cut in zip(new, cuts) if cut is None]))
+            out = []
+            for cut in cuts:
+                if cut is None:
+                    out.append(next(rest))
+                    continue
+                word = cut[1]
+                letters = word.replace(" ", "Ġ") if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+                out.append(array("I", [t.id for t in word_ids(letters)]).tobytes() + marks[cut[2]])
+            return out
 
         _loaded[path] = Memory(encode, LIMIT_CHUNKS), tokenizer.get_vocab_size(with_added_tokens=True), special
     return _loaded[path]
