@@ -20,6 +20,7 @@ library; other columns are ignored; an empty table writes an empty file set.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from array import array
@@ -144,9 +145,16 @@ def _chunks(text: str, special: re.Pattern | None) -> list[str]:
 
 def _encode(texts: list[str], path: str) -> list[bytes]:
     memory, _, special = _tokenizer(path)
-    parts = [_chunks(t, special) for t in texts]
-    known = memory.look_up([set().union(*parts)])
-    return [b"".join(map(known.__getitem__, p)) for p in parts]
+    # strings in lists make no cycles, but the collector would walk through them again and again
+    collects = gc.isenabled()
+    gc.disable()
+    try:
+        parts = [_chunks(t, special) for t in texts]
+        known = memory.look_up([set().union(*parts)])
+        return [b"".join(map(known.__getitem__, p)) for p in parts]
+    finally:
+        if collects:
+            gc.enable()
 
 
 def _writer(path: str, end: int, block_ids: int):
