@@ -12,29 +12,44 @@ over, and the half before it is dropped. So it stays bounded.
 
 from __future__ import annotations
 
+import gc
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 LIMIT = 150_000
 LONG = 64  # longer chunks are encoded each time
 
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
-# white space in runs, around a space or a line break
-_RUNS = [c + " " for c in _SPACES] + [c + "\n" for c in _SPACES] + ["\n" + c for c in _SPACES]
-_ASCII_RUNS = [run for run in _RUNS if run.isascii()]
 _OTHERS = [c for c in _SPACES if c not in " \n"]
 _ASCII_OTHERS = [c for c in _OTHERS if c.isascii()]
+# white space in runs, around a space or a line break
+_RUNS = ["  ", " \n", "\n ", "\n\n"]
+_RARE_RUNS = [run for c in _OTHERS for run in (c + " ", c + "\n", "\n" + c)]
 _STEP = re.compile(r"(?<=\S)(?= )")
+_CUT = "\0"
 
 
 def chunks(text: str) -> list[str]:
     if not text:
         return []
-    # no other white space, and as many words as single spaces and line breaks part: no runs
-    rare = any(c in text for c in (_ASCII_OTHERS if text.isascii() else _OTHERS))
-    single = not rare and len(text.split()) == text.count(" ") + text.count("\n") + 1
-    if not single and any(run in text for run in (_ASCII_RUNS if text.isascii() else _RUNS)):
+    runs = list(_RUNS)
+    if any(c in text for c in (_ASCII_OTHERS if text.isascii() else _OTHERS)):
+        runs += _RARE_RUNS
+    if any(run in text for run in runs):
         return _STEP.split(text)
+    if _CUT in text:
+        return _by_line(text)
+    out = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split(_CUT)
+    if not out[0]:
+        del out[0]
+    if not out[-1]:
+        out.pop()
+    return out
+
+
+def _by_line(text: str) -> list[str]:
+    """The same for a text that holds the mark between chunks."""
     out: list[str] = []
     for line in text.split("\n"):
         parts = line.split(" ")
@@ -46,6 +61,18 @@ def chunks(text: str) -> list[str]:
     return out
 
 
+@contextmanager
+def collector_paused() -> Iterator[None]:
+    """Strings in lists make no cycles, but the collector would walk through them again and again."""
+    collects = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if collects:
+            gc.enable()
+
+
 class Memory[T]:
     """Remembers ``encode`` of chunks; new chunks of many texts are encoded together."""
 
@@ -61,7 +88,8 @@ class Memory[T]:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         # Looked up one by one: a set less the keys of a mapping would go through all keys.
-        new = [chunk for chunk in set().union(*texts) if chunk not in known]
+        distinct = set().union(*texts)
+        new = [chunk for chunk in distinct if chunk not in known]
         if not new:
             return known
         fresh = []
@@ -76,4 +104,4 @@ class Memory[T]:
             known.update(found)
             return known
         known.update({k: v for k, v in found.items() if k not in long})
-        return {c: found[c] if c in long else known[c] for parts in texts for c in parts}
+        return {c: found[c] if c in long else known[c] for c in distinct}

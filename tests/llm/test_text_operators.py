@@ -11,12 +11,14 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
 from matchboard.llm import (
     decontamination,
     html_text,
+    kernel,
     merge_replay,
     packed_tokens,
     pieces,
@@ -419,3 +421,41 @@ def test_training_sample_is_bounded(spark, docs):
     labels = spark.createDataFrame([(k, 1, 0) for k in range(70)], "doc_id bigint, quality int, toxic int")
     few = zstd_quality.training_rows(docs.union(docs), labels, zstd_quality.Settings(per_label=3))
     assert len(few) <= 6 and all(label == 1 for label, _ in few)
+
+
+def test_matches_of_chunks_are_cut_in_a_row():
+    """One cut for all chunks that begin with a space, with the matches of each cut alone."""
+    calls = []
+
+    def split(text):
+        calls.append(text)
+        return regex.findall(public_tokenizers.PATTERN, text)
+
+    new = [" a", "b", " it's", "\n", " x,", "  y", " ", " 12abé", " z ", " 'll"]
+    found, bounds = merge_replay._cut_matches(new, split)
+    cut = [found[a:b] for a, b in zip(bounds, bounds[1:])]
+    assert cut == [regex.findall(public_tokenizers.PATTERN, c) for c in new]
+    assert len(calls) == 5
+    letters = regex.compile("[a-z]+").findall  # leaves characters out
+    found, bounds = merge_replay._cut_matches(new, letters)
+    assert [found[a:b] for a, b in zip(bounds, bounds[1:])] == [letters(c) for c in new]
+
+
+def test_worker_keeps_no_chunks_after_its_task():
+    """What a task has encoded does not stay in a worker that other stages use again."""
+    merge_replay.encode_texts(["some words of a task"], RANKS, public_tokenizers.PATTERN)
+    assert not any(isinstance(x, pieces.Memory) for kept in merge_replay._loaded.values() for x in kept)
+
+
+def test_tables_for_slices_are_small():
+    """Arrays that every worker keeps beside its heap follow the slice."""
+    assert kernel.powers(3, 1).nbytes <= 1 << 21
+
+
+def test_zero_characters_encode_like_the_library():
+    """Chunks are cut at a zero character, which a text may hold itself."""
+    texts = ["a, b, c! été; d?! 1,2 x\0 y\0\nz", " a\0 ", "\0"]
+    found = [np.frombuffer(raw, "<u4").tolist() for raw in packed_tokens._encode(texts, JSON)]
+    assert found == _library_ids(texts)
+    for text in texts:
+        assert "".join(pieces.chunks(text)) == text
