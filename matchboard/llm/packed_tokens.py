@@ -20,7 +20,6 @@ library; other columns are ignored; an empty table writes an empty file set.
 
 from __future__ import annotations
 
-import gc
 import re
 import zlib
 from array import array
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matchboard.llm.pieces import Memory, chunks
+from matchboard.llm.pieces import Memory, chunks, collector_paused
 from matchboard.sources.staging import scratch_path
 
 BLOCK_IDS = 1 << 16
@@ -115,18 +114,22 @@ def _tokenizer(path: str) -> tuple[Memory, int, re.Pattern | None]:
             if len(marks) > LIMIT_MARKS:
                 marks.clear()
                 marks[""] = b""
-            cuts = [_WORD(chunk) for chunk in new]
-            tails = list({cut[2] for cut in cuts if cut is not None} - marks.keys())
-            marks.update(zip(tails, whole(tails)))
-            rest = iter(whole([chunk for chunk, cut in zip(new, cuts) if cut is None]))
-            out = []
-            for cut in cuts:
+            out: list[bytes | None] = []
+            others = []
+            for chunk in new:
+                cut = _WORD(chunk)
                 if cut is None:
-                    out.append(next(rest))
+                    others.append(chunk)
+                    out.append(None)
                     continue
-                word = cut[1]
+                word, tail = cut.groups()
+                if tail not in marks:
+                    (marks[tail],) = whole([tail])
                 letters = word.replace(" ", "Ġ") if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
-                out.append(array("I", [t.id for t in word_ids(letters)]).tobytes() + marks[cut[2]])
+                out.append(array("I", [t.id for t in word_ids(letters)]).tobytes() + marks[tail])
+            if others:
+                rest = iter(whole(others))
+                out = [next(rest) if coded is None else coded for coded in out]
             return out
 
         _loaded[path] = Memory(encode, LIMIT_CHUNKS), tokenizer.get_vocab_size(with_added_tokens=True), special
@@ -145,16 +148,10 @@ def _chunks(text: str, special: re.Pattern | None) -> list[str]:
 
 def _encode(texts: list[str], path: str) -> list[bytes]:
     memory, _, special = _tokenizer(path)
-    # strings in lists make no cycles, but the collector would walk through them again and again
-    collects = gc.isenabled()
-    gc.disable()
-    try:
+    with collector_paused():
         parts = [_chunks(t, special) for t in texts]
-        known = memory.look_up([set().union(*parts)])
+        known = memory.look_up(parts)
         return [b"".join(map(known.__getitem__, p)) for p in parts]
-    finally:
-        if collects:
-            gc.enable()
 
 
 def _writer(path: str, end: int, block_ids: int):
