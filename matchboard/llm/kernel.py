@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 20
+SLICE = 1 << 18  # its arrays of eight bytes a byte fit a core's cache
 
 U = np.uint64
 _PRIME = U((1 << 31) - 1)
@@ -52,7 +52,7 @@ def powers(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None:
         have = np.ones(1, dtype=np.uint32)
-    while len(have) < max(n, 2 * SLICE):
+    while len(have) < max(n, SLICE):
         step = U(pow(base, len(have), int(_PRIME)))
         have = np.concatenate((have, _reduced(have.astype(U) * step).astype(np.uint32)))
     _powers[base] = have
@@ -102,7 +102,7 @@ def _wrapping(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, kept and grown between calls."""
     have = _gram_powers.get(base)
     if have is None or len(have) < n:
-        have = np.full(max(n, 2 * SLICE), base, dtype=U)
+        have = np.full(max(n, SLICE), base, dtype=U)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
         _gram_powers[base] = have
