@@ -79,3 +79,23 @@ def test_slice_is_half_open_and_drops_null_times(spark, rows):
     kept, fixtures = slice_period(scores, schedule, period)
     assert rows(kept, "game_id") == [("end",), ("inside",)]
     assert rows(fixtures, "game_id") == [("end",), ("end",), ("inside",)]
+
+
+def test_distinct_rows_are_kept_once(spark):
+    """Clean and rejected rows are taken from what ``keep`` computed, and are the same as without."""
+    columns = "game_id string, home_goals string, away_goals string, ingestion_time string"
+    rows = [("1", "2", "1", "2024-01-01 10:00:00")] * 2 + [("2", "x", "1", "2024-01-01 10:00:00"), (None, "1", "1", "no")]
+    raw = spark.createDataFrame(rows, columns)
+    kept = []
+
+    def keep(df):
+        kept.append(df)
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    found = clean_scores(raw, datetime(2024, 1, 7), keep=keep)
+    plain = clean_scores(raw, datetime(2024, 1, 7))
+    assert [sorted(df.collect()) for df in found] == [sorted(df.collect()) for df in plain]
+    assert len(kept) == 1 and kept[0].count() == 2
+    for df in found:
+        assert "LogicalRDD" in df._jdf.queryExecution().logical().toString()
+        assert "Deduplicate" not in df._jdf.queryExecution().logical().toString()
